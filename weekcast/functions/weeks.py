@@ -7,6 +7,8 @@ Everything is a built-in date expression, so it stays inside code generation.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -111,6 +113,24 @@ def _shift_back_reference(yearweek: Column, step: Column) -> Column:
     return F.when(within_year > 0, year_week_label(year, within_year)).otherwise(crossed)
 
 
+def shift_label(label: str, weeks: int, semantics: str = REFERENCE) -> str:
+    """:func:`shift_week` for one known label, so that plans hold plain constants."""
+    check_semantics(semantics)
+    year, week = int(label[:4]), int(label[4:])
+    within_year = week + weeks
+    if semantics == REFERENCE and weeks <= 0:
+        if within_year > 0:
+            return f"{year:04d}{within_year:02d}"
+        later, landed = _iso_position(year + 1, within_year)
+        return f"{later - 1:04d}{landed:02d}"
+    return "{:04d}{:02d}".format(*_iso_position(year, within_year))
+
+
+def _iso_position(year: int, week: int) -> tuple[int, int]:
+    day = date.fromisocalendar(year, 1, 1) + timedelta(weeks=week - 1)
+    return day.isocalendar()[:2]
+
+
 def week_range(first: Column, last: Column) -> Column:
     """Array of the week indexes from ``first`` to ``last`` (labels), step one week."""
     return F.sequence(week_index(first), week_index(last))

@@ -13,16 +13,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekcast.config import (
+    CORRECTED,
     INACTIVE_AFTER_WEEKS,
     REFERENCE,
     ZERO_DEMAND_WEEKS,
     ForecastConfig,
 )
 from weekcast.functions.numbers import safe_div
-from weekcast.functions.weeks import shift_week, week_of, year_number, year_of
+from weekcast.functions.weeks import shift_label, shift_week, week_of, year_number, year_of
 from weekcast.operators.keyed import exists_in, match_null_safe, scalar_of
 from weekcast.operators.panel import empty_measures
 from weekcast.operators.seasonality import (
+    half_width,
     visible_values,
     weekly_moving_average,
 )
@@ -31,45 +33,48 @@ from weekcast.sources.schemas import MART_COLUMNS, PANEL_KEY, SERIES_KEY
 
 @dataclass(frozen=True)
 class ForecastCalendar:
-    """The weeks a forecast refers to, as columns."""
+    """The weeks a forecast refers to, as constants that reach the scans."""
 
-    max_week: Column
-    trailing_from: Column
-    base: Column
-    horizon: Column
-    base_length: int
-    horizon_length: int
+    max_week: str
+    base: list[str]
+    horizon: list[str]
+    active_from: str
 
     @property
-    def base_weeks(self) -> list[Column]:
-        return [self.base[i] for i in range(self.base_length)]
+    def trailing_from(self) -> str:
+        return self.base[0]
 
     @property
-    def same_weeks(self) -> list[Column]:
+    def same_weeks(self) -> list[str]:
         """Two-digit week numbers of the horizon."""
-        return [week_of(self.horizon[i]) for i in range(self.horizon_length)]
+        return [week[4:] for week in self.horizon]
+
+
+def latest_week(df: DataFrame) -> str:
+    """Latest week of a table: one aggregate over one column, one value returned."""
+    latest = df.agg(F.max("yearweek")).first()[0]
+    if latest is None:
+        raise ValueError("the table has no rows to take the latest week from")
+    return latest
 
 
 def forecast_calendar(df: DataFrame, config: ForecastConfig) -> ForecastCalendar:
-    """Weeks derived from the cut-off week of ``config`` or the latest in ``df``.
+    """Weeks derived from the cut-off week of ``config`` or the latest in ``df``."""
+    latest = config.max_week or latest_week(df)
 
-    A given cut-off makes every week a constant that Catalyst folds and pushes
-    to the scan.  Otherwise all weeks come from one scalar subquery.
-    """
-    given = config.max_week is not None
-    latest = F.lit(config.max_week) if given else F.max("yearweek")
-    base = [shift_week(latest, -i, config.semantics) for i in range(config.base_back, -1, -1)]
-    ahead = [shift_week(latest, i, config.semantics) for i in range(1, config.horizon + 1)]
-    parts = {
-        "max_week": latest,
-        "trailing_from": base[0],
-        "base": F.array(*base),
-        "horizon": F.array(*ahead),
-    }
-    if not given:
-        found = scalar_of(df, F.struct(*[column.alias(name) for name, column in parts.items()]))
-        parts = {name: found[name] for name in parts}
-    return ForecastCalendar(**parts, base_length=len(base), horizon_length=len(ahead))
+    def shifted(n: int) -> str:
+        return shift_label(latest, n, config.semantics)
+
+    return ForecastCalendar(
+        max_week=latest,
+        base=[shifted(n) for n in range(-config.base_back, 1)],
+        horizon=[shifted(n) for n in range(1, config.horizon + 1)],
+        active_from=shifted(-INACTIVE_AFTER_WEEKS),
+    )
+
+
+def _constants(labels: list[str]) -> Column:
+    return F.array(*[F.lit(label) for label in labels])
 
 
 def cut_history(df: DataFrame, max_week: str | Column) -> DataFrame:
@@ -82,29 +87,33 @@ def trailing_output(df: DataFrame, config: ForecastConfig) -> DataFrame:
     return df.filter(F.col("yearweek") >= forecast_calendar(df, config).trailing_from)
 
 
-def _recent_from(df: DataFrame, weeks_back: int, semantics: str) -> Column:
-    return scalar_of(df, shift_week(F.max("yearweek"), -weeks_back, semantics))
-
+def recent_series(
+    df: DataFrame, since: str | Column, keys: list[str], sold: bool = False
+) -> DataFrame:
+    """Keys of the series with a row (that sold something) since a week.
 
-def _active_keys(df: DataFrame, weeks: int, semantics: str, sold: bool, keys: list[str]):
-    recent = df.filter(F.col("yearweek") >= _recent_from(df, weeks, semantics))
+    "The last week is recent" is the same as "some row is recent", so only the
+    recent weeks are read.
+    """
+    recent = df.filter(F.col("yearweek") >= since)
     if sold:
         recent = recent.filter(F.col("qty") != 0)
     return recent.select(*keys).distinct()
 
 
+def _weeks_before_latest(df: DataFrame, weeks: int, semantics: str) -> Column:
+    return scalar_of(df, shift_week(F.max("yearweek"), -weeks, semantics))
+
+
 def drop_inactive(
     df: DataFrame,
     weeks: int = INACTIVE_AFTER_WEEKS,
     semantics: str = REFERENCE,
     keys: list[str] = PANEL_KEY,
 ) -> DataFrame:
-    """Keep series with a row no more than ``weeks`` weeks before the latest week.
-
-    "The last week is recent" is the same as "some row is recent", so only the
-    recent weeks are read to find the keys, and the rest is a semi join.
-    """
-    return exists_in(df, _active_keys(df, weeks, semantics, False, keys), keys)
+    """Keep series with a row no more than ``weeks`` weeks before the latest week."""
+    since = _weeks_before_latest(df, weeks, semantics)
+    return exists_in(df, recent_series(df, since, keys), keys)
 
 
 def drop_zero_demand(
@@ -114,13 +123,14 @@ def drop_zero_demand(
     keys: list[str] = PANEL_KEY,
 ) -> DataFrame:
     """Keep series that sold anything in the last ``weeks`` weeks; absent weeks count as 0."""
-    return exists_in(df, _active_keys(df, weeks - 1, semantics, True, keys), keys)
+    since = _weeks_before_latest(df, weeks - 1, semantics)
+    return exists_in(df, recent_series(df, since, keys, sold=True), keys)
 
 
 def horizon_rows(df: DataFrame, calendar: ForecastCalendar, keys: list[str]) -> DataFrame:
     """One empty row per series and forecast week."""
     series = df.select(*keys).distinct()
-    weeks = series.withColumn("yearweek", F.explode(calendar.horizon))
+    weeks = series.withColumn("yearweek", F.explode(_constants(calendar.horizon)))
     label = F.col("yearweek")
     filled = {"year": year_of(label), "week": week_of(label)}
     schema_rows = empty_measures(df, [*keys, "yearweek"], filled)
@@ -149,7 +159,7 @@ def week_values(
     """
     pick = {"first": F.min, "last": F.max}[keep]
     label = F.col("yearweek")
-    needed = label.isin(calendar.base_weeks) | week_of(label).isin(calendar.same_weeks)
+    needed = label.isin(calendar.base) | week_of(label).isin(calendar.same_weeks)
     weekly = (
         lookups.filter(needed)
         .groupBy(*keys, "yearweek")
@@ -169,12 +179,11 @@ def base_window(frame: DataFrame, calendar: ForecastCalendar) -> DataFrame:
             found = F.try_element_at("week_values", week)[field]
             return acc + F.coalesce(found, F.lit(0.0))
 
-        return F.aggregate("_base", F.lit(0.0), add)
+        return F.aggregate(_constants(calendar.base), F.lit(0.0), add)
 
-    based = frame.withColumn("_base", calendar.base)
-    return based.withColumns(
+    return frame.withColumns(
         {"base_qty": total("qty"), "base_seasonality": total("seasonality")}
-    ).drop("_base")
+    )
 
 
 def base_level(frame: DataFrame, config: ForecastConfig) -> DataFrame:
@@ -265,8 +274,8 @@ def forecast_frame(
     """One row per series and forecast week with fcst, seasonality and time_series."""
     frame = series_frame(series, lookups, calendar, config, keep).withColumns(
         {
-            "last_forecast_year": year_number(F.element_at(calendar.horizon, -1)),
-            "yearweek": F.explode(calendar.horizon),
+            "last_forecast_year": F.lit(int(calendar.horizon[-1][:4])),
+            "yearweek": F.explode(_constants(calendar.horizon)),
         }
     )
     valued = time_series(week_seasonality(frame, config), config)
@@ -293,7 +302,7 @@ def forecast(
     base level, the usual seasonality of their week and the forecast.
     """
     calendar = forecast_calendar(panel, config)
-    active = _active_keys(panel, INACTIVE_AFTER_WEEKS, config.semantics, drop_zero, PANEL_KEY)
+    active = recent_series(panel, calendar.active_from, PANEL_KEY, sold=drop_zero)
     history = exists_in(panel, active, PANEL_KEY).withColumns(
         {"fcst": F.lit(0.0), "time_series": F.lit(0.0)}
     )
@@ -320,7 +329,8 @@ def reforecast(
     trailing = history.filter(F.col("yearweek") >= calendar.trailing_from)
     renewed = None
     if recompute:
-        renewed = _renewed_averages(history, lookups, calendar, config)
+        needed = _near_needed_weeks(calendar, config, same_weeks=corrected)
+        renewed = _renewed_averages(history, lookups.filter(needed), calendar, config)
         if corrected:
             lookups = renewed.filter(F.col("qty").isNotNull()).withColumn(
                 "seasonality", safe_div(F.col("qty"), F.col("moving_avg"))
@@ -343,6 +353,29 @@ def reforecast(
     return rows.select(*MART_COLUMNS)
 
 
+def _near_needed_weeks(
+    calendar: ForecastCalendar, config: ForecastConfig, same_weeks: bool
+) -> Column:
+    """Weeks that can enter a moving average of a week the re-forecast uses.
+
+    Those are the trailing weeks and, with ``same_weeks``, the forecast's week
+    numbers in every year, each with one week more than the window reaches on
+    both sides (years have 52 or 53 weeks).  Other weeks need not be read.
+    """
+    reach = half_width(config.average_window) + 1
+    label = F.col("yearweek")
+    near = label >= shift_label(calendar.trailing_from, -reach, CORRECTED)
+    if not same_weeks:
+        return near
+    numbers = {
+        (int(week) - 1 + step) % length + 1
+        for week in calendar.same_weeks
+        for step in range(-reach, reach + 1)
+        for length in (52, 53)
+    }
+    return near | week_of(label).isin([f"{number:02d}" for number in sorted(numbers)])
+
+
 def _renewed_averages(
     history: DataFrame, lookups: DataFrame, calendar: ForecastCalendar, config: ForecastConfig
 ) -> DataFrame:
@@ -357,7 +390,7 @@ def _renewed_averages(
         .distinct()
         .select(
             *SERIES_KEY,
-            F.explode(calendar.horizon).alias("yearweek"),
+            F.explode(_constants(calendar.horizon)).alias("yearweek"),
             F.lit(None).cast("double").alias("qty"),
         )
     )
