@@ -89,6 +89,10 @@ def test_dedupe_and_lookup(spark):
     rows = lambda keep: {r.k: (r.v, r.tag) for r in keyed.dedupe(df, ["k"], ["v"], keep).collect()}
     assert rows("first") == {"a": (1.0, "y"), None: (4.0, "p")}
     assert rows("last") == {"a": (3.0, "x"), None: (5.0, "q")}
+    holes = spark.createDataFrame([("a", None, "x"), ("a", 2.0, "y")], df.schema)
+    for keep in ("first", "last"):
+        assert keyed.dedupe(holes, ["k"], ["v"], keep).first().v == 2.0
+        assert keyed.dedupe(holes.drop("tag"), ["k"], ["v"], keep).first().v == 2.0
     probes = spark.createDataFrame([("a",), (None,), ("b",)], "k string")
     found = keyed.lookup(probes, df, ["k"], {"v": "best"}, keep="last")
     assert {r.k: r.best for r in found.collect()} == {"a": 3.0, None: 5.0, "b": None}

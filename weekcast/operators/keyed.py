@@ -47,15 +47,22 @@ def one_value_per_key(
 
 
 def dedupe(df: DataFrame, keys: list[str], order: list[str], keep: str = "first") -> DataFrame:
-    """One whole row per key: the first or last one by ``order``, nulls lowest.
+    """One whole row per key: the first or last one by ``order``.
 
-    Ties are broken by the remaining columns, so the result is always the same.
-    The pick is an aggregate, so each task reduces its own rows before the
-    shuffle and a key with many copies stays small.
+    A missing order value loses to any other.  Ties are broken by the remaining
+    columns, so the result is always the same.  The pick is an aggregate, so
+    each task reduces its own rows before the shuffle and a key with many copies
+    stays small.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    row = F.struct(*[F.col(c) for c in [*order, *rest]])
-    pick = {"first": F.min, "last": F.max}[keep]
+    if len(order) == 1 and not rest:
+        return one_value_per_key(df, keys, order, keep).select(*df.columns)
+    pick, loses = {
+        "first": (F.min, Column.isNull),
+        "last": (F.max, Column.isNotNull),
+    }[keep]
+    ranked = [part for c in order for part in (loses(F.col(c)).alias(f"_{c}"), F.col(c))]
+    row = F.struct(*ranked, *[F.col(c) for c in rest])
     picked = df.groupBy(*keys).agg(pick(row).alias("_row"))
     return picked.select(
         *[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns]

@@ -17,6 +17,8 @@ def local_session(name: str, cores: str = "8", memory: str = "8g", **settings) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Many different queries in one session: keep their compiled code.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
     )
     for key, value in settings.items():

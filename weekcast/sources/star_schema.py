@@ -15,71 +15,87 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with their keys; join strategies are left to Spark's size checks."""
+    """Order lines with their keys; join strategies are left to Spark's size checks.
+
+    Derived columns are computed on the small tables before the joins, and dates
+    are only cut to their Monday here: labels are made after aggregating.
+    """
     lines = _table(spark, folder, "lineitem")
     orders = _table(spark, folder, "orders")
-    customers = _table(spark, folder, "customer")
+    parts = _table(spark, folder, "part").select(
+        "p_partkey",
+        F.col("p_type").alias("productgroup"),
+        F.split_part("p_name", F.lit(" "), F.lit(2)).alias("item"),
+    )
     nations = _table(spark, folder, "nation")
     regions = _table(spark, folder, "region")
-    parts = _table(spark, folder, "part")
+    places = nations.join(regions, nations.n_regionkey == regions.r_regionkey)
+    customers = _table(spark, folder, "customer")
+    buyers = customers.join(places, customers.c_nationkey == places.n_nationkey).select(
+        "c_custkey",
+        F.lit("A01").alias("regionseg"),
+        F.col("c_mktsegment").alias("salesid"),
+        F.col("r_name").alias("regionseg3"),
+    )
     return (
         lines.join(parts, lines.l_partkey == parts.p_partkey)
         .join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(
-            customers.join(nations, customers.c_nationkey == nations.n_nationkey).join(
-                regions, nations.n_regionkey == regions.r_regionkey
-            ),
-            orders.o_custkey == customers.c_custkey,
-        )
-        .withColumns(
-            {
-                "region": F.lit("A01"),
-                "item": F.split_part("p_name", F.lit(" "), F.lit(2)),
-                "ship_week": date_year_week(F.col("l_shipdate")),
-                "order_week": date_year_week(F.col("o_orderdate")),
-            }
-        )
+        .join(buyers, orders.o_custkey == buyers.c_custkey)
+        .withColumn("ship_monday", F.trunc("l_shipdate", "week"))
     )
 
 
-def sales_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Sales columns for every order line: a week of a series has many rows."""
-    return _order_lines(spark, folder).select(
-        F.col("region").alias("regionSeg1"),
+def _as_sales(rows: DataFrame, quantity: str) -> DataFrame:
+    return rows.select(
+        F.col("regionseg").alias("regionSeg1"),
         F.lit(None).cast("string").alias("productSeg1"),
-        F.col("p_type").alias("productSeg2"),
-        F.col("c_mktsegment").alias("regionSeg2"),
-        F.col("r_name").alias("regionSeg3"),
+        F.col("productgroup").alias("productSeg2"),
+        F.col("salesid").alias("regionSeg2"),
+        F.col("regionseg3").alias("regionSeg3"),
         F.col("item").alias("productSeg3"),
-        F.col("ship_week").alias("yearweek"),
-        F.col("l_quantity").alias("qty"),
+        date_year_week(F.col("ship_monday")).alias("yearweek"),
+        F.col(quantity).alias("qty"),
     )
 
 
+def sales_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales columns for every order line: a week of a series has many rows."""
+    return _as_sales(_order_lines(spark, folder), "l_quantity")
+
+
 def sales(spark: SparkSession, folder: str) -> DataFrame:
     """Weekly sales: one row per series and week."""
-    lines = sales_lines(spark, folder)
-    keys = [c for c in lines.columns if c != "qty"]
-    return lines.groupBy(*keys).agg(F.sum("qty").alias("qty"))
+    weekly = (
+        _order_lines(spark, folder)
+        .groupBy("regionseg", "salesid", "regionseg3", "productgroup", "item", "ship_monday")
+        .agg(F.sum("l_quantity").alias("quantity"))
+    )
+    return _as_sales(weekly, "quantity")
 
 
 def promotions(spark: SparkSession, folder: str) -> DataFrame:
     """Promotions: discounted lines summarised per key and week."""
-    lines = _order_lines(spark, folder).filter(F.col("l_discount") >= 0.05)
-    unit_price = F.max(F.col("l_extendedprice") / F.col("l_quantity"))
-    zero = F.lit(0).cast("bigint")
-    return lines.groupBy(
-        F.col("region").alias("regionseg"),
-        F.col("c_mktsegment").alias("salesid"),
-        F.col("p_type").alias("productgroup"),
+    weekly = (
+        _order_lines(spark, folder)
+        .filter(F.col("l_discount") >= 0.05)
+        .groupBy("regionseg", "salesid", "productgroup", "item", "ship_monday")
+        .agg(
+            F.min("o_orderdate").alias("first_order"),
+            F.min("l_returnflag").alias("return_flag"),
+            F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+            F.max("l_discount").alias("discount"),
+        )
+    )
+    price = F.when(F.col("return_flag") == "R", F.lit(0)).otherwise(F.floor("unit_price"))
+    return weekly.select(
+        "regionseg",
+        "salesid",
+        "productgroup",
         "item",
-        F.col("ship_week").alias("targetweek"),
-    ).agg(
-        F.min("order_week").alias("planweek"),
-        F.when(F.min("l_returnflag") == "R", zero)
-        .otherwise(F.floor(unit_price).cast("bigint"))
-        .alias("map_price"),
-        F.floor(unit_price * F.max("l_discount")).cast("bigint").alias("ir"),
+        date_year_week(F.col("ship_monday")).alias("targetweek"),
+        date_year_week(F.col("first_order")).alias("planweek"),
+        price.cast("bigint").alias("map_price"),
+        F.floor(F.col("unit_price") * F.col("discount")).cast("bigint").alias("ir"),
         F.lit(0.0).alias("pmap"),
         F.lit(0.0).alias("pmap10"),
         F.lit(0.0).alias("pro_percent"),
