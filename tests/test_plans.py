@@ -62,6 +62,17 @@ def test_series_frame_reads_only_what_it_needs(spark, tmp_path):
     assert {c.split(":")[0] for c in schema.split(",")} == {*schemas.PANEL_KEY, "yearweek"}
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_grouped_aggregates_are_hashed(spark):
+    for name in ("series_bounds", "week_calendar", "gap_fill", "seasonality_ref", "forecast_ref",
+                 "reforecast_recompute", "series_array", "price_refinement"):
+        assert "SortAggregate" not in plan_of(driver.queries()[name](spark, SF_DIR)), name
+    from weekcast.sources import star_schema
+
+    for make in (star_schema.sales, star_schema.promotions):
+        assert "SortAggregate" not in plan_of(make(spark, SF_DIR))
+
+
 def test_browsing_filters_reach_the_scan(spark, tmp_path):
     mart = _written(spark, tmp_path, mart_frame(spark, [("201610", 1, 1, 1)]))
     plan = plan_of(browse.mart_filter(mart, "PG01", before=201620))

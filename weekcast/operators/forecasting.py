@@ -242,11 +242,27 @@ def time_series(frame: DataFrame, config: ForecastConfig) -> DataFrame:
     return frame.withColumn("time_series", safe_div(F.col("fcst") * F.col("seasonality"), scale))
 
 
-def first_years(history: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per series with the year of its first week."""
-    return history.groupBy(*keys).agg(
-        F.min(year_of(F.col("yearweek"))).cast("int").alias("first_year")
-    )
+def first_years(
+    history: DataFrame,
+    keys: list[str],
+    active_from: str | None = None,
+    sold: bool = False,
+) -> DataFrame:
+    """One row per series with the year of its first week.
+
+    With ``active_from``, only series with a row (that sold something) since
+    then.  Weeks are compared as numbers: integer aggregates are hashed, text
+    ones would sort every row first.
+    """
+    label = F.col("yearweek")
+    found = {"first_year": F.min(year_number(label))}
+    if active_from is not None:
+        counted = F.when(F.col("qty") != 0, label) if sold else label
+        found["_last_week"] = F.max(counted.cast("int"))
+    series = history.groupBy(*keys).agg(*[c.alias(name) for name, c in found.items()])
+    if active_from is None:
+        return series
+    return series.filter(F.col("_last_week") >= int(active_from)).drop("_last_week")
 
 
 def series_frame(
@@ -306,7 +322,7 @@ def forecast(
     history = exists_in(panel, active, PANEL_KEY).withColumns(
         {"fcst": F.lit(0.0), "time_series": F.lit(0.0)}
     )
-    series = exists_in(first_years(panel, PANEL_KEY), active, PANEL_KEY)
+    series = first_years(panel, PANEL_KEY, calendar.active_from, sold=drop_zero)
     frame = forecast_frame(series, panel, calendar, config, PANEL_KEY)
     return history.unionByName(_as_rows_of(history, frame, PANEL_KEY))
 

@@ -71,16 +71,19 @@ def join_promotions(sales: DataFrame, promo: DataFrame, project: str = "panel")
 
 
 def series_bounds(df: DataFrame, keys: list[str] = PANEL_KEY) -> DataFrame:
-    """First and last week, and first and last year, of each series."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.min("yearweek").alias("first_week"), F.max("yearweek").alias("last_week"))
-        .withColumns(
-            {
-                "first_year": year_of(F.col("first_week")).cast("int"),
-                "last_year": year_of(F.col("last_week")).cast("int"),
-            }
-        )
+    """First and last week, and first and last year, of each series.
+
+    Labels are compared as numbers, which gives the same order: aggregates over
+    integers are hashed, while those over text would sort every row first.
+    """
+    number = F.col("yearweek").cast("int")
+    bounds = df.groupBy(*keys).agg(F.min(number).alias("_first"), F.max(number).alias("_last"))
+    return bounds.select(
+        *keys,
+        F.lpad(F.col("_first").cast("string"), 6, "0").alias("first_week"),
+        F.lpad(F.col("_last").cast("string"), 6, "0").alias("last_week"),
+        F.floor(F.col("_first") / F.lit(100)).cast("int").alias("first_year"),
+        F.floor(F.col("_last") / F.lit(100)).cast("int").alias("last_year"),
     )
 
 

@@ -74,19 +74,26 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def promotions(spark: SparkSession, folder: str) -> DataFrame:
-    """Promotions: discounted lines summarised per key and week."""
+    """Promotions: discounted lines summarised per key and week.
+
+    The price counts as unknown where R is the lowest return flag; two boolean
+    aggregates say so without sorting the lines, as a minimum over text would.
+    """
+    flag = F.col("l_returnflag")
     weekly = (
         _order_lines(spark, folder)
         .filter(F.col("l_discount") >= 0.05)
         .groupBy("regionseg", "salesid", "productgroup", "item", "ship_monday")
         .agg(
             F.min("o_orderdate").alias("first_order"),
-            F.min("l_returnflag").alias("return_flag"),
+            F.bool_and(flag >= "R").alias("from_r_on"),
+            F.bool_or(flag == "R").alias("any_r"),
             F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
             F.max("l_discount").alias("discount"),
         )
     )
-    price = F.when(F.col("return_flag") == "R", F.lit(0)).otherwise(F.floor("unit_price"))
+    lowest_is_r = F.col("from_r_on") & F.col("any_r")
+    price = F.when(lowest_is_r, F.lit(0)).otherwise(F.floor("unit_price"))
     return weekly.select(
         "regionseg",
         "salesid",
