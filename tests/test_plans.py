@@ -128,8 +128,21 @@ def test_hot_keys_are_split(spark, no_broadcast, tmp_path):
             F.lit(None).cast("string").alias("productseg1"), F.lit("201401").alias("yearweek"),
             F.col("id").cast("double").alias("qty"), padding.alias("note"),
         )
-        recent = weekly.limit(1)
+        sales = weekly.select(
+            F.col("regionseg").alias("regionSeg1"), F.col("salesid").alias("regionSeg2"),
+            F.col("productgroup").alias("productSeg2"), F.col("item").alias("productSeg3"),
+            F.col("regionseg3").alias("regionSeg3"), "yearweek", "qty", "note",
+        )
+        plans = sales.select(
+            F.col("regionSeg1").alias("regionseg"), F.col("regionSeg2").alias("salesid"),
+            F.col("productSeg2").alias("productgroup"), F.col("productSeg3").alias("item"),
+            F.col("yearweek").alias("targetweek"),
+        ).distinct()
+        measured = plans.withColumns({m: F.lit(1) for m in schemas.PROMOTION_MEASURES})
+        # A promotion table is read, not aggregated, before this join.
+        measured = _written(spark, tmp_path, measured)
         for df in (
+            panel.join_promotions(sales, measured, project="sales"),
             keyed.match_null_safe(
                 promo, promotions.avg_nonzero_price(promo), schemas.PROMOTION_KEY, "left"
             ),
