@@ -50,31 +50,33 @@ def held_out(folds: int, rest: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == rest, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> list[tuple[str, int]]:
-    """At most ``most`` labelled (text, label) rows outside the held-out fold, the same ones on every run.
-
-    The bound is on the sample a classifier is fitted on, nothing else.  Rows
-    are taken in the order of a hash of the id, each class up to half the bound, so that
-    a rare class is not crowded out.  Null labels and labels other than 0 and 1 are ignored.
-    """
-    named = (
-        labels.select("doc_id", F.col(label).cast("int").alias("label"))
+def labelled(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) outside the held-out fold, one row per id; labels other than 0 and 1 are ignored."""
+    value = F.col(label).cast("int")
+    return (
+        labels.select("doc_id", value.alias("label"))
         .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(5, 0))
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
-        .withColumn("order", F.xxhash64("doc_id"))
     )
-    picked = None
-    for value in (0, 1):
-        part = named.where(F.col("label") == value).orderBy("order", "doc_id").limit(most // 2)
-        picked = part if picked is None else picked.unionByName(part)
+
+
+def sampled(named: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows in the order of a hash of the id: the same ones on every run."""
+    return named.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(most)
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> list[tuple[str, int]]:
+    """At most ``most`` labelled (text, label) rows: the bound is on what a classifier is fitted on, nothing else."""
     rows = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .join(F.broadcast(picked), "doc_id")
-        .select("order", "doc_id", "text", "label")
+        .join(F.broadcast(sampled(labelled(labels, label), most)), "doc_id")
+        .orderBy("order", "doc_id", "text")
+        .limit(most)
+        .select("text", "label")
         .collect()
     )
-    return [(r["text"], r["label"]) for r in sorted(rows, key=lambda r: (r["order"], r["doc_id"], r["text"]))]
+    return [(r["text"], r["label"]) for r in rows]
 
 
 def text_chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -142,14 +144,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words between white space, A-Z lowered: (start, end, text number, hash)."""
-    inside = ~_SPACE[data]
-    first = np.zeros(len(data) + 1, bool)
-    first[offsets] = True
-    begins, ends = inside.copy(), inside.copy()
-    if len(data):
-        begins[1:] &= ~inside[:-1] | first[1:-1]
-        ends[:-1] &= ~inside[1:] | first[1:-1]
-    starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    starts, stops = runs(~_SPACE[data], offsets)
     owner = np.searchsorted(offsets, starts, "right") - 1
     return starts, stops, owner, SpanHash(_LOWER[data]).spans(starts, stops)
 
@@ -183,3 +178,23 @@ def as_arrow(schema: str, columns: dict) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
     fields = [x.strip().split(" ", 1) for x in schema.split(",")]
     return pa.RecordBatch.from_arrays([pa.array(columns[n], kinds[t], from_pandas=False) for n, t in fields], [n for n, _ in fields])
+
+
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of each maximal run of true bytes that stays in one text."""
+    first = np.zeros(len(inside) + 1, bool)
+    first[offsets] = True
+    begins, ends = inside.copy(), inside.copy()
+    if len(inside):
+        begins[1:] &= ~inside[:-1] | first[1:-1]
+        ends[:-1] &= ~inside[1:] | first[1:-1]
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with A-Z and the capital Latin-1 letters lowered."""
+    out = _LOWER[data]
+    if len(data):
+        latin = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
+        out[latin] += 0x20
+    return out

@@ -25,8 +25,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Pieces packed together: bounds the memory of a task; more pieces than this per group would fill no better.
 GROUP_PIECES = 50_000
-#: Distinct chunks whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Distinct chunks and words whose ids a worker remembers.
+REMEMBERED = 1_500_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECE + ", sequence_id long, offset long"
@@ -41,25 +41,47 @@ def default_tokenizer() -> str:
 class ChunkEncoder:
     """Ids of whole texts as little-endian bytes.
 
-    The tokenizer drops white space and no token spans it, so a text's ids are those of its
-    chunks between blanks and line feeds; each distinct chunk is encoded once.
+    The tokenizer drops white space and no token spans it, so a text's ids are those of its chunks between
+    blanks and line feeds.  Letters and a tail of punctuation never share a token either, and case is ignored;
+    so each distinct word is encoded once.
     """
 
+    #: Punctuation that no contraction and no special token ends with.
+    TAIL = ",.!*%&#$?:;"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.chunks: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def split(self, chunk: str) -> tuple[str, str]:
+        word = chunk.rstrip(self.TAIL)
+        if not word.isalpha():
+            return chunk, ""
+        return word.lower() if max(word) < "\u0130" else word, chunk[len(word) :]
+
+    def learn(self, chunks: list[str]) -> None:
+        if len(self.chunks) + len(self.parts) > REMEMBERED:
+            self.chunks.clear()
+            self.parts.clear()
+        split = [self.split(x) for x in chunks]
+        parts = self.parts
+        missing = list(dict.fromkeys(p for pair in split for p in pair if p not in parts))
+        for part, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
+            parts[part] = np.asarray(found.ids, "<u4").tobytes()
+        for chunk, (word, tail) in zip(chunks, split):
+            self.chunks[chunk] = parts[word] + parts[tail] if tail else parts[word]
 
     def encode(self, text: str) -> bytes:
         chunks = text.replace("\n", " ").split(" ")
-        known = self.known
+        known = self.chunks
         missing = [x for x in dict.fromkeys(chunks) if x not in known]
         if missing:
-            if len(known) > REMEMBERED:
-                known.clear()
+            if len(known) + len(self.parts) > REMEMBERED:
                 missing = list(dict.fromkeys(chunks))
-            for chunk, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                known[chunk] = np.asarray(found.ids, "<u4").tobytes()
+            self.learn(missing)
         return b"".join([known[x] for x in chunks])
 
 

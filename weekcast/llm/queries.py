@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from .packing import op6_pack
+from .secrets import op7_secrets
+from .toxicity import op10_toxicity
 
 QUERIES = {
     "op6_pack": op6_pack,
+    "op7_secrets": op7_secrets,
+    "op10_toxicity": op10_toxicity,
 }
 
 CHECKS: dict[str, str] = {}
