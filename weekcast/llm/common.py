@@ -66,7 +66,7 @@ def sampled(named: DataFrame, most: int) -> DataFrame:
     return named.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(most)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> list[tuple[str, int]]:
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> Iterator[tuple[str, int]]:
     """At most ``most`` labelled (text, label) rows: the bound is on what a classifier is fitted on, nothing else."""
     rows = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -74,9 +74,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
         .orderBy("order", "doc_id", "text")
         .limit(most)
         .select("text", "label")
-        .collect()
+        .toArrow()
     )
-    return [(r["text"], r["label"]) for r in rows]
+    return ((text.as_py(), label.as_py()) for text, label in zip(rows["text"], rows["label"]))
 
 
 def text_chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

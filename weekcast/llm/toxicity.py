@@ -12,7 +12,7 @@ training rows every score is 0; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +24,7 @@ from .common import U64, SpanHash, held_out, lowered, runs, table, text_chunks,
 
 BITS = 20
 #: Bound on the labelled rows that the model is fitted on.
-TRAINING_ROWS = 16_000
+TRAINING_ROWS = 10_000
 THRESHOLD = 0.5
 
 _LETTER = np.zeros(256, bool)
@@ -51,25 +51,25 @@ class Model:
     intercept: float
 
 
-def fit(rows: list[tuple[str, int]], alpha=3.0, beta=1.0, l1=6.0, l2=0.1, passes=8, least=4) -> Model:
+def fit(rows: Iterable[tuple[str, int]], alpha=3.0, beta=1.0, l1=6.0, l2=0.1, passes=8, least=4) -> Model:
     """FTRL-proximal over (text, label) rows.
 
     Features of fewer than ``least`` of the texts are left out: they would take up the
     gradient of their one text and teach nothing about others.
     """
-    if not rows:
-        return Model(np.empty(0, np.int64), np.empty(0), -math.inf)
     size = 1 << BITS
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     rng = np.random.default_rng(7)
     examples = []
     for text, label in rows:
         data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-        examples.append((np.unique(features(data, np.array([0, len(data)]))[1]), label))
+        examples.append((np.unique(features(data, np.array([0, len(data)]))[1]).astype(np.int32), label))
+    if not examples:
+        return Model(np.empty(0, np.int64), np.empty(0), -math.inf)
     seen = np.zeros(size, np.int32)
     for places, _ in examples:
         seen[places] += 1
-    examples = [(np.append(p[seen[p] >= least], size), label) for p, label in examples]
+    examples = [(np.append(p[seen[p] >= least], size).astype(np.int32), label) for p, label in examples]
 
     def weights(at):
         zs = z[at]
