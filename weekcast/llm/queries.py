@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from .jaccard import op9_jaccard
+from .language import op8_language
 from .packing import op6_pack
+from .quality import op1_quality
 from .secrets import op7_secrets
 from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op6_pack": op6_pack,
     "op7_secrets": op7_secrets,
+    "op8_language": op8_language,
+    "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
 }
 
