@@ -7,10 +7,12 @@ from .language import op8_language
 from .packing import op6_pack
 from .quality import op1_quality
 from .secrets import op7_secrets
+from .suffix import op3_repeats
 from .toxicity import op10_toxicity
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op3_repeats": op3_repeats,
     "op6_pack": op6_pack,
     "op7_secrets": op7_secrets,
     "op8_language": op8_language,
