@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .chat import op2_chat
+from .decontamination import op4_decontaminate
 from .jaccard import op9_jaccard
 from .language import op8_language
 from .packing import op6_pack
@@ -12,7 +14,9 @@ from .toxicity import op10_toxicity
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_chat": op2_chat,
     "op3_repeats": op3_repeats,
+    "op4_decontaminate": op4_decontaminate,
     "op6_pack": op6_pack,
     "op7_secrets": op7_secrets,
     "op8_language": op8_language,
