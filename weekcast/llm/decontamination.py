@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import U64, SpanHash, as_arrow, lowered, mix, runs, table, text_chunks, written
 
-SEED_WORDS = 4
+SEED_WORDS = 3
 MIN_WORDS = 8
 #: Share of an item's best possible score from which a document counts as contaminated.
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 #: A seed in at most this share of the documents is rare whatever else its item holds.
 RARE_SHARE = 1e-4
 MATCH, OTHER, GAP = 2, -1, -1
