@@ -35,7 +35,7 @@ from .graph import components, joined_split
 FREQUENT = 16
 BLOCK = 96
 
-SETS = "doc_id long, n long, key long, main boolean, tokens array<long>"
+SETS = "row long, doc_id long, n long, key long, main boolean, tokens array<long>"
 SIGNATURES = "sig long, key long"
 MEMBER = "family long, block int, blocks int, key long, n long, copies long, tokens binary"
 LINKS = "key long, root long, links long"
@@ -81,11 +81,11 @@ def sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for batch in batches:
-            ids, out = batch.column("doc_id").to_pylist(), []
+            ids, numbers, out = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), []
             for row, values in document_sets(batch, k):
                 n = len(values)
                 if not n:
-                    out.append((ids[row], 0, None, True, None))
+                    out.append((numbers[row], ids[row], 0, None, True, None))
                     continue
                 key = set_key(values)
                 scale, length = n.bit_length() - 1, needed(n, percent)
@@ -99,10 +99,10 @@ def sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
                         chosen = salted[salted < share_bound(s, percent)]
                         tokens = chosen if len(chosen) - token_classes(s, percent) >= length else salted
                     if s == scale or tokens is not None:
-                        out.append((ids[row], n, key, s == scale, None if tokens is None else tokens.astype(np.int64)))
-            yield as_arrow(SETS, dict(zip(("doc_id", "n", "key", "main", "tokens"), zip(*out) if out else [[]] * 5)))
+                        out.append((numbers[row], ids[row], n, key, s == scale, None if tokens is None else tokens.astype(np.int64)))
+            yield as_arrow(SETS, dict(zip([x.split()[0] for x in SETS.split(", ")], zip(*out) if out else [[]] * 6)))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SETS)
+    return docs.mapInArrow(run, SETS)
 
 
 def prefix_signatures(n: int, main: bool, size: int, df: np.ndarray, tokens: np.ndarray, percent: int) -> list[int]:
@@ -252,26 +252,30 @@ def member_sets(members: DataFrame, k: int) -> DataFrame:
     return members.mapInArrow(run, MEMBER)
 
 
+def with_rows(docs: DataFrame) -> DataFrame:
+    """The documents with a number ``_row`` made of id and text, which repeated rows share."""
+    return docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, n_links``.
+    """One row per document: ``doc_id, n_shingles, component_id, n_links`` and ``_row, kept``.
 
     Sets of ``k``-word shingles link when their Jaccard similarity is at least ``percent`` hundredths.
     ``n_links`` counts the other documents that a document links with directly, equal sets included.
+    ``kept`` marks one document of each component, one with the smallest id, and all that link with nothing.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = with_rows(docs).select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = written(sets(docs, k, percent), "sets")
-    every = found.where("main").select("doc_id", "n", "key")
-    classes = every.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-    classes = written(classes, "classes")
+    every = found.where("main").select("row", "doc_id", "n", "key")
+    classes = every.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key", "n").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("copies"))
+    classes = written(classes.select("key", "n", "first", "first.doc_id", "copies"), "classes")
     family = written(families(found, percent), "families")
     sizes = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = joined_split(family, sizes, "family").join(classes, "key")
+    members = joined_split(family, sizes, "family").join(classes.drop("first"), "key")
     members = members.withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
     # A class's representative is one document, but an id may come with several texts.
-    texts = docs.join(members, "doc_id")
-    whole = member_sets(texts, k)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    cells = whole.select("*", other).select(
+    whole = member_sets(docs.select("doc_id", "text").join(members, "doc_id"), k)
+    cells = whole.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "n", "copies", "tokens"
     )
     cells = cells.repartition("family", "low", "high").sortWithinPartitions("family", "low", "high")
@@ -279,18 +283,33 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     roots = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("key").agg(F.sum("links").alias("links"))
     placed = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").join(counts, "key", "left")
-    placed = written(placed.select("key", "doc_id", "copies", F.coalesce("root", "key").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "placed")
-    smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    placed = joined_split(placed, smallest, "root").select("key", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    placed = written(placed.select("key", "first", "copies", F.coalesce("root", "key").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "placed")
+    smallest = placed.groupBy("root").agg(F.min("first").alias("first"))
+    placed = joined_split(placed.drop("first"), smallest, "root").select("key", "first", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     out = joined_split(every, placed, "key", "left")
     alone = F.col("doc_id").isNull()
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(~alone, F.coalesce("component_id", "doc_id")).alias("component_id"),
+        F.when(~alone, F.coalesce("first.doc_id", "doc_id")).alias("component_id"),
         F.when(alone, 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
+        F.col("row").alias("_row"),
+        (alone | F.col("first").isNull() | (F.col("first.row") == F.col("row"))).alias("kept"),
     )
 
 
+def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without near duplicates: of each component one row stays; empty texts and null ids stay all."""
+    found = jaccard_components(docs, k, percent).where("kept")
+    lone = F.col("n_shingles").eqNullSafe(0) | F.col("doc_id").isNull()
+    kept = written(found.groupBy("_row").agg((F.count("*") > 1).alias("_several"), F.first(lone).alias("_lone")), "kept")
+    rows = joined_split(with_rows(docs), kept, "_row")
+    several = F.col("_several") & ~F.col("_lone")
+    # A row that comes several times, the same id and text, stays once.
+    once = rows.where(several).dropDuplicates(["_row"])
+    return rows.where(~several).unionByName(once).select(*docs.columns)
+
+
 def op9_jaccard(spark, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+    found = jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")

@@ -11,12 +11,14 @@ from .quality import op1_quality
 from .secrets import op7_secrets
 from .suffix import op3_repeats
 from .toxicity import op10_toxicity
+from .vectors import op5_vectors
 
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_chat": op2_chat,
     "op3_repeats": op3_repeats,
     "op4_decontaminate": op4_decontaminate,
+    "op5_vectors": op5_vectors,
     "op6_pack": op6_pack,
     "op7_secrets": op7_secrets,
     "op8_language": op8_language,

@@ -141,8 +141,9 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCANNED)
 
 
-def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every span in ``text`` replaced by ``mark``; overlapping spans by one."""
+def redact(docs: DataFrame, mark: str = "[secret]", count: str = "_n_secrets") -> DataFrame:
+    """``docs`` with every span in ``text`` replaced by ``mark``, overlapping ones by one, and the number of spans as ``count``."""
+    schema = docs.withColumn(count, F.lit(0)).schema
 
     def run(batches):
         for batch, spans in scan_batches(batches):
@@ -157,9 +158,10 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
                     texts[i] = "".join(out) + texts[i][at:]
                 at = batch.schema.get_field_index("text")
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-            yield batch
+            counts = pa.array([len(spans.get(i, ())) for i in range(batch.num_rows)], pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, counts], [*batch.schema.names, count])
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, schema)
 
 
 def op7_secrets(spark, sf_dir: str) -> DataFrame:
