@@ -1,12 +1,16 @@
 """The golden series under both semantics."""
 
+from datetime import date
+
 import pytest
+from pyspark.sql import functions as F
 
-from tests.data import GOLDEN_WEEKS, by_week, golden
+from tests.data import GOLDEN_WEEKS, by_week, golden, iso_labels, joined_frame
 from weekcast.config import CORRECTED, REFERENCE, ForecastConfig
 from weekcast.operators.forecasting import forecast, reforecast
 from weekcast.operators.browse import final_mart
-from weekcast.operators.panel import gap_fill, missing_weeks, promotion_flag
+from weekcast.operators.keyed import match_null_safe
+from weekcast.operators.panel import gap_fill, missing_weeks, promotion_flag, shifted_join
 from weekcast.operators.seasonality import add_seasonality, weekly_quantity
 from weekcast.operators import seasonality as seasonal
 
@@ -80,31 +84,37 @@ def test_reforecast_with_same_settings_repeats_the_forecast(panel, semantics, at
     assert min(values) == first and max(values) == "201607"
 
 
-@pytest.mark.parametrize("window", [1, 2, 3, 4, 5, 7, 8, 11])
+def mean_by_join(weekly, keys, half, semantics):
+    """The average of every week by looking each shifted week up."""
+    known = weekly.filter("qty IS NOT NULL")
+    met = shifted_join(weekly, known, keys, "qty", range(-half, half + 1), semantics)
+    means = met.groupBy(*keys, "yearweek").agg(F.avg("met_value").alias("moving_avg"))
+    joined = match_null_safe(weekly, means, [*keys, "yearweek"], "left")
+    return joined.withColumn("moving_avg", F.coalesce("moving_avg", F.lit(0.0)))
+
+
+@pytest.mark.parametrize("window", [1, 2, 5, 8, 11, 53, 61, 105])
 @pytest.mark.parametrize("semantics", [REFERENCE, CORRECTED])
 def test_window_frames_equal_the_shifted_join(panel, window, semantics):
     """Two independent ways to find the weeks around a week."""
     weekly, keys = weekly_quantity(panel, semantics)
     half = seasonal.half_width(window)
     fast = by_week(seasonal.weekly_moving_average(weekly, keys, window, semantics), "moving_avg")
-    slow = by_week(seasonal._moving_average_by_join(weekly, keys, half, semantics), "moving_avg")
+    slow = by_week(mean_by_join(weekly, keys, half, semantics), "moving_avg")
     assert fast == slow and len(fast) == 107
 
 
-def test_window_frames_equal_the_shifted_join_over_many_years(spark):
-    from datetime import date
-
-    from tests.data import iso_labels, joined_frame
-
+@pytest.mark.parametrize("window", [8, 61, 105, 231])
+def test_window_frames_equal_the_shifted_join_over_many_years(spark, window):
     labels = iso_labels(date(1998, 1, 5), 1200)
     rows = [(w, (7 * k) % 23) for k, w in enumerate(labels) if k % 9 and k % 53]
     weekly, keys = weekly_quantity(joined_frame(spark, rows))
-    fast = by_week(seasonal.weekly_moving_average(weekly, keys, 8), "moving_avg")
-    slow = by_week(seasonal._moving_average_by_join(weekly, keys, 3, REFERENCE), "moving_avg")
+    fast = by_week(seasonal.weekly_moving_average(weekly, keys, window), "moving_avg")
+    slow = by_week(mean_by_join(weekly, keys, seasonal.half_width(window), REFERENCE), "moving_avg")
     assert fast == slow
 
 
-def test_very_wide_window_falls_back_to_the_join(panel):
+def test_wide_window_over_a_year_of_53_weeks(panel):
     weekly, keys = weekly_quantity(panel)
     out = by_week(seasonal.weekly_moving_average(weekly, keys, 61), "moving_avg")
     # 201501 - 1 .. - 30 land on 201453 (absent), 201452 .. 201424; forward 30 weeks.

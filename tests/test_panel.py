@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.data import KEY, joined_frame, panel_row
-from weekcast.operators import keyed, panel
+from weekcast.operators import keyed, panel, seasonality
 from weekcast.sources import schemas
 
 OTHER = ("A01", "SITEID0002", "SALESID0001", "PG01", "ITEM0001")
@@ -67,12 +67,14 @@ def test_both_ways_to_missing_weeks_agree(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_week_without_a_place_in_the_calendar_does_not_hide_a_gap(spark):
-    df = joined_frame(spark, [panel_row(w, 1) for w in ("201451", "201453", "201502")])
-    assert [r.yearweek for r in panel.missing_weeks(df).orderBy("yearweek").collect()] == [
-        "201452", "201501",
-    ]
-    assert panel.gap_fill(df).count() == 5
+@pytest.mark.parametrize("label", ["201453", "201600"])
+def test_a_label_that_is_no_week_is_an_error(spark, label):
+    df = joined_frame(spark, [panel_row(w, 1) for w in ("201451", label, "201702")])
+    for make in (panel.missing_weeks, panel.missing_weeks_by_difference, panel.gap_fill):
+        with pytest.raises(Exception, match=f"no ISO week: {label}"):
+            make(df).collect()
+    with pytest.raises(Exception, match=f"no ISO week: {label}"):
+        seasonality.moving_average(panel.promotion_flag(df)).collect()
 
 
 def test_flag_and_sort(spark):

@@ -6,9 +6,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from tests.data import KEY, golden_rows, mart_frame, panel_row, seasonal_frame
 from weekcast.config import CORRECTED, REFERENCE, ForecastConfig
+from weekcast.plans.registry import QUERIES
 from weekcast.operators import browse, forecasting, keyed, panel, promotions
 from weekcast.operators import seasonality as seasonal
 from weekcast.sources import schemas
@@ -35,7 +35,7 @@ def no_broadcast(spark):
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 def test_no_query_leaves_the_jvm_or_crosses_rows(spark):
-    for name, make in driver.queries().items():
+    for name, make in QUERIES.items():
         plan = plan_of(make(spark, SF_DIR))
         for word in ("Python", "Arrow", "MapPartitions", "CartesianProduct", "BroadcastNestedLoop",
                      "ExistingRDD"):
@@ -66,7 +66,7 @@ def test_series_frame_reads_only_what_it_needs(spark, tmp_path):
 def test_grouped_aggregates_are_hashed(spark):
     for name in ("series_bounds", "week_calendar", "gap_fill", "seasonality_ref", "forecast_ref",
                  "reforecast_recompute", "series_array", "price_refinement"):
-        assert "SortAggregate" not in plan_of(driver.queries()[name](spark, SF_DIR)), name
+        assert "SortAggregate" not in plan_of(QUERIES[name](spark, SF_DIR)), name
     from weekcast.sources import star_schema
 
     for make in (star_schema.sales, star_schema.promotions):

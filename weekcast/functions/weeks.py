@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekcast.config import REFERENCE, check_semantics
@@ -45,15 +45,23 @@ def weeks_in_year(year: Column) -> Column:
     return F.weekofyear(F.make_date(year, F.lit(12), F.lit(28)))
 
 
-def _first_week_index(year: Column) -> Column:
+def first_week_index(year: Column) -> Column:
+    """:func:`week_index` of week 1 of a year."""
     monday = F.trunc(F.make_date(year, F.lit(1), F.lit(4)), "week")
     days = F.datediff(monday, F.to_date(F.lit(_EPOCH_MONDAY)))
     return F.floor(days / F.lit(7)).cast("int")
 
 
+def checked_week(yearweek: Column) -> Column:
+    """The label; one that is no ISO week, such as 201453 or 201600, is an error."""
+    wrong = F.raise_error(F.concat(F.lit("no ISO week: "), yearweek)).cast("string")
+    return F.when(yearweek.isNull() | is_iso_week(yearweek), yearweek).otherwise(wrong)
+
+
 def week_index(yearweek: Column) -> Column:
-    """Whole weeks between Monday 1970-01-05 and the Monday of the label."""
-    return _first_week_index(year_number(yearweek)) + week_number(yearweek) - F.lit(1)
+    """Whole weeks between Monday 1970-01-05 and the Monday of the (checked) label."""
+    label = checked_week(yearweek)
+    return first_week_index(year_number(label)) + week_number(label) - F.lit(1)
 
 
 def is_iso_week(yearweek: Column) -> Column:
@@ -106,7 +114,7 @@ def shift_week(yearweek: Column, weeks: int | Column, semantics: str = REFERENCE
 def _shift_back_reference(yearweek: Column, step: Column) -> Column:
     year, week = year_number(yearweek), week_number(yearweek)
     within_year = week + step
-    landing = _monday(_first_week_index(year + F.lit(1)) + within_year - F.lit(1))
+    landing = _monday(first_week_index(year + F.lit(1)) + within_year - F.lit(1))
     crossed = year_week_label(
         F.extract(F.lit("yearofweek"), landing) - F.lit(1), F.weekofyear(landing)
     )
@@ -134,3 +142,18 @@ def _iso_position(year: int, week: int) -> tuple[int, int]:
 def week_range(first: Column, last: Column) -> Column:
     """Array of the week indexes from ``first`` to ``last`` (labels), step one week."""
     return F.sequence(week_index(first), week_index(last))
+
+
+def in_years(df: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Rows whose ``year`` column lies between the years of two labels; a table without one stays whole.
+
+    Used beside a bound on the week, which it follows from: a table written by
+    year is then read only in part.
+    """
+    if "year" not in df.columns:
+        return df
+    if first is not None:
+        df = df.filter(F.col("year") >= F.lit(first[:4]))
+    if last is not None:
+        df = df.filter(F.col("year") <= F.lit(last[:4]))
+    return df

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekcast.functions.weeks import week_of, year_of
+from weekcast.functions.weeks import in_years, week_of, year_of
 from weekcast.sources.schemas import DISPLAY_COLUMNS, MART_COLUMNS
 
 _DRILL_COLUMNS = ("regionseg", "regionseg3", "productgroup", "item")
@@ -34,41 +34,47 @@ def mart_filter(
     before: int | None = None,
     after: int | None = None,
 ) -> DataFrame:
-    """Rows of a product group before and/or after a week, compared as numbers.
+    """Rows of a product group before and/or after a week.
 
-    Six-digit labels order the same as text, so the text bound is added too: it
-    reaches the scan, where the cast alone would not.
+    Labels have six digits, so their order as text is that of the numbers, and a
+    text bound reaches the scan; the year bound leaves out whole folders of a mart written by year.
     """
-    week = F.col("yearweek").cast("int")
     condition = F.col("productgroup") == F.lit(productgroup)
     if before is not None:
-        condition &= week < F.lit(before)
-        condition &= _text_bound(before, F.col("yearweek") < F.lit(str(before)))
+        condition &= F.col("yearweek") < F.lit(_as_label(before))
     if after is not None:
-        condition &= week > F.lit(after)
-        condition &= _text_bound(after, F.col("yearweek") > F.lit(str(after)))
-    return mart.filter(condition)
+        condition &= F.col("yearweek") > F.lit(_as_label(after))
+    years = {"last": _as_label(before)} if before is not None else {}
+    years |= {"first": _as_label(after)} if after is not None else {}
+    return in_years(mart, **years).filter(condition)
 
 
-def _text_bound(number: int, bound: Column) -> Column:
-    return bound if 100000 <= number <= 999999 else F.lit(True)
+def _as_label(number: int) -> str:
+    """A bound in text order: below all labels for negative numbers, above all for longer ones."""
+    return "" if number < 0 else ":" if number > 999999 else f"{number:06d}"
 
 
-def drill_down(mart: DataFrame, **equals: str) -> DataFrame:
-    """Rows matching the given region, site, product group and item, by week."""
+def drill_down_rows(mart: DataFrame, **equals: str) -> DataFrame:
+    """Rows matching the given region, site, product group and item."""
     unknown = set(equals) - set(_DRILL_COLUMNS)
     if unknown:
         raise ValueError(f"cannot drill down on {sorted(unknown)}")
     rows = mart
     for name, value in equals.items():
         rows = rows.filter(F.col(name) == F.lit(value))
-    return rows.orderBy("yearweek")
+    return rows
+
+
+def drill_down(mart: DataFrame, **equals: str) -> DataFrame:
+    """The same rows by week, in a total order that range partitioning can cut anywhere."""
+    rows = drill_down_rows(mart, **equals)
+    return rows.orderBy("yearweek", *[c for c in rows.columns if c != "yearweek"])
 
 
 def item_series(mart: DataFrame, site: str, item: str, value: str = "time_series") -> DataFrame:
     """Week and value of one item at one site, by week."""
     picked = (F.col("regionseg3") == F.lit(site)) & (F.col("item") == F.lit(item))
-    return mart.filter(picked).select("yearweek", value).orderBy("yearweek")
+    return mart.filter(picked).select("yearweek", value).orderBy("yearweek", value)
 
 
 def item_list(mart: DataFrame) -> DataFrame:
@@ -99,3 +105,10 @@ def chart_points(series: DataFrame) -> DataFrame:
         ),
     )
     return series.withColumn("points", F.array_join(pieces, ","))
+
+
+def drill_down_series(
+    mart: DataFrame, value: str = "time_series", **equals: str
+) -> DataFrame:
+    """Series of each region, site, product group and item of a selection, as chart points."""
+    return series_array(drill_down_rows(mart, **equals), _DRILL_COLUMNS, value)

@@ -20,15 +20,30 @@ from weekcast.config import (
     ForecastConfig,
 )
 from weekcast.functions.numbers import safe_div
-from weekcast.functions.weeks import shift_label, shift_week, week_of, year_number, year_of
-from weekcast.operators.keyed import exists_in, match_null_safe, scalar_of
+from weekcast.functions.weeks import (
+    in_years,
+    shift_label,
+    shift_week,
+    week_of,
+    year_number,
+    year_of,
+)
+from weekcast.operators.keyed import exists_in, match_null_safe, one_value_per_key, scalar_of
 from weekcast.operators.panel import empty_measures
 from weekcast.operators.seasonality import (
     half_width,
     visible_values,
     weekly_moving_average,
 )
-from weekcast.sources.schemas import MART_COLUMNS, PANEL_KEY, SERIES_KEY
+from weekcast.sources.schemas import (
+    MART,
+    MART_COLUMNS,
+    PANEL_KEY,
+    SEASONALITY,
+    SERIES_KEY,
+    conform,
+    named_as,
+)
 
 
 @dataclass(frozen=True)
@@ -79,12 +94,18 @@ def _constants(labels: list[str]) -> Column:
 
 def cut_history(df: DataFrame, max_week: str | Column) -> DataFrame:
     """Drop rows after the cut-off week (forecasts of an earlier run)."""
+    if isinstance(max_week, str):
+        df = in_years(df, last=max_week)
     return df.filter(F.col("yearweek") <= max_week)
 
 
 def trailing_output(df: DataFrame, config: ForecastConfig) -> DataFrame:
     """Keep rows from the start of the base window on."""
-    return df.filter(F.col("yearweek") >= forecast_calendar(df, config).trailing_from)
+    return _from_week(df, forecast_calendar(df, config).trailing_from)
+
+
+def _from_week(df: DataFrame, first: str) -> DataFrame:
+    return in_years(df, first=first).filter(F.col("yearweek") >= first)
 
 
 def recent_series(
@@ -95,7 +116,7 @@ def recent_series(
     "The last week is recent" is the same as "some row is recent", so only the
     recent weeks are read.
     """
-    recent = df.filter(F.col("yearweek") >= since)
+    recent = _from_week(df, since) if isinstance(since, str) else df.filter(F.col("yearweek") >= since)
     if sold:
         recent = recent.filter(F.col("qty") != 0)
     return recent.select(*keys).distinct()
@@ -155,15 +176,13 @@ def week_values(
 
     Only base weeks and earlier weeks with a forecast week number are kept, so a
     map has at most base + horizon x years entries whatever the table size.
-    Rows are reduced to one per (series, week) before they are gathered.
+    Rows are reduced to one per (series, week) before they are gathered: the one
+    with the smallest (largest) quantity, then seasonality.
     """
-    pick = {"first": F.min, "last": F.max}[keep]
     label = F.col("yearweek")
     needed = label.isin(calendar.base) | week_of(label).isin(calendar.same_weeks)
-    weekly = (
-        lookups.filter(needed)
-        .groupBy(*keys, "yearweek")
-        .agg(pick("qty").alias("qty"), pick("seasonality").alias("seasonality"))
+    weekly = one_value_per_key(
+        lookups.filter(needed), [*keys, "yearweek"], ["qty", "seasonality"], keep
     )
     entry = F.struct("yearweek", F.struct("qty", "seasonality"))
     return weekly.groupBy(*keys).agg(
@@ -317,6 +336,7 @@ def forecast(
     History rows carry 0 in ``fcst`` and ``time_series``; forecast rows carry the
     base level, the usual seasonality of their week and the forecast.
     """
+    panel = named_as(panel, SEASONALITY)
     calendar = forecast_calendar(panel, config)
     active = recent_series(panel, calendar.active_from, PANEL_KEY, sold=drop_zero)
     history = exists_in(panel, active, PANEL_KEY).withColumns(
@@ -338,11 +358,12 @@ def reforecast(
     on.  With it, both are computed anew from ``average_window``; corrected
     forecasts then use the new seasonality, reference forecasts the stored one.
     """
+    mart = conform(mart, MART)
     calendar = forecast_calendar(mart, config)
     corrected = config.semantics != REFERENCE
     history = cut_history(mart, calendar.max_week)
     lookups = history if corrected else mart
-    trailing = history.filter(F.col("yearweek") >= calendar.trailing_from)
+    trailing = _from_week(history, calendar.trailing_from)
     renewed = None
     if recompute:
         needed = _near_needed_weeks(calendar, config, same_weeks=corrected)

@@ -24,10 +24,10 @@ def match_null_safe(
     ``keys`` is a list of shared names, or a mapping from left to right names.
     """
     pairs = keys if isinstance(keys, dict) else {k: k for k in keys}
-    right_keys = set(pairs.values())
+    right_keys = {name.lower() for name in pairs.values()}
     renamed = right.select(
         *[F.col(r).alias(_RIGHT + r) for r in pairs.values()],
-        *[F.col(c) for c in right.columns if c not in right_keys],
+        *[F.col(c) for c in right.columns if c.lower() not in right_keys],
     )
     condition = reduce(
         lambda a, b: a & b, [left[l].eqNullSafe(renamed[_RIGHT + r]) for l, r in pairs.items()]
@@ -41,9 +41,27 @@ def match_null_safe(
 def one_value_per_key(
     df: DataFrame, keys: list[str], values: list[str], keep: str = "first"
 ) -> DataFrame:
-    """One row per key with the smallest (``first``) or largest (``last``) value."""
+    """One row per key: the one with the smallest (``first``) or largest (``last``) value.
+
+    Of several values the first decides, then the next, so that all come from one
+    row.  A missing value loses to any other.  The values are narrowed down one after another by
+    plain aggregates, which are hashed; a pick of whole structs would sort.
+    """
     pick = {"first": F.min, "last": F.max}[keep]
-    return df.groupBy(*keys).agg(*[pick(v).alias(v) for v in values])
+    by = {"first": F.min_by, "last": F.max_by}[keep]
+    *ordered, final = values
+    picked = df.groupBy(*keys, *ordered).agg(pick(final).alias(final))
+    for k in range(len(ordered) - 1, -1, -1):
+        lead = ordered[k]
+
+        def beside(value: str, lead: str = lead) -> Column:
+            # One row is left for each leading value; that of the missing one counts only where no other is.
+            alone = pick(F.when(F.col(lead).isNull(), F.col(value)))
+            return F.when(pick(lead).isNull(), alone).otherwise(by(value, lead)).alias(value)
+
+        rest = [beside(value) for value in values[k + 1 :]]
+        picked = picked.groupBy(*keys, *ordered[:k]).agg(pick(lead).alias(lead), *rest)
+    return picked.select(*keys, *values)
 
 
 def dedupe(df: DataFrame, keys: list[str], order: list[str], keep: str = "first") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from weekcast.config import REFERENCE
 from weekcast.functions.weeks import (
-    is_iso_week,
+    checked_week,
     label_of_index,
     shift_week,
     week_index,
@@ -18,7 +18,7 @@ from weekcast.functions.weeks import (
 from weekcast.operators.keyed import match_null_safe, not_in
 from weekcast.sources.schemas import JOINED_SALES, PANEL_KEY, PROMOTION_MEASURES
 
-# Sales column -> promotion column of the join.
+# Sales column -> promotion column of the join, output name -> sales column, sort order.
 _SALES_TO_PROMOTION = {
     "regionSeg1": "regionseg",
     "regionSeg2": "salesid",
@@ -76,7 +76,7 @@ def series_bounds(df: DataFrame, keys: list[str] = PANEL_KEY) -> DataFrame:
     Labels are compared as numbers, which gives the same order: aggregates over
     integers are hashed, while those over text would sort every row first.
     """
-    number = F.col("yearweek").cast("int")
+    number = checked_week(F.col("yearweek")).cast("int")
     bounds = df.groupBy(*keys).agg(F.min(number).alias("_first"), F.max(number).alias("_last"))
     return bounds.select(
         *keys,
@@ -102,11 +102,11 @@ def missing_weeks(df: DataFrame, keys: list[str] = PANEL_KEY) -> DataFrame:
 
     Each series is reduced to its distinct weeks; a window then compares every
     week with the next one, and only real gaps are expanded.  No full grid is
-    built and no join is needed.
+    built and no join is needed.  A label that is no calendar week is an error, here and
+    in :func:`week_calendar`.
     """
     weeks = (
-        df.filter(is_iso_week(F.col("yearweek")))
-        .select(*keys, "yearweek")
+        df.select(*keys, "yearweek")
         .distinct()
         .withColumn("week_idx", week_index(F.col("yearweek")))
     )
@@ -127,14 +127,16 @@ def missing_weeks_by_difference(df: DataFrame, keys: list[str] = PANEL_KEY) -> D
 
 def empty_measures(df: DataFrame, keys: list[str], values: dict[str, Column] | None = None):
     """Columns of ``df`` for generated rows: keys kept, measures 0, flags ``N``."""
-    values = values or {}
+    values = {name.lower(): column for name, column in (values or {}).items()}
+    kept = {name.lower() for name in keys}
     columns = []
     for field in df.schema:
-        if field.name in keys:
+        name = field.name.lower()
+        if name in kept:
             column = F.col(field.name)
-        elif field.name in values:
-            column = values[field.name].cast(field.dataType)
-        elif field.name == "promotionNY" and isinstance(field.dataType, T.StringType):
+        elif name in values:
+            column = values[name].cast(field.dataType)
+        elif name == "promotionny" and isinstance(field.dataType, T.StringType):
             column = F.lit("N")
         else:
             column = F.lit(0).cast(field.dataType)
@@ -160,7 +162,7 @@ def sort_panel(df: DataFrame) -> DataFrame:
     Week and measures extend the sort key, so that range partitioning can cut
     inside a long series and the order is the same on every run.
     """
-    rest = [c for c in df.columns if c not in _SORT_KEY and c != "yearweek"]
+    rest = [c for c in df.columns if c.lower() not in (*_SORT_KEY, "yearweek")]
     return df.orderBy(*_SORT_KEY, "yearweek", *rest)
 
 

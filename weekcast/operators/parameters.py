@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekcast.config import (
@@ -20,6 +20,7 @@ from weekcast.config import (
     check_semantics,
 )
 from weekcast.functions.numbers import numeric_text_to_int
+from weekcast.sources.shared import folder_names
 
 
 def validate_params(entries: DataFrame) -> DataFrame:
@@ -97,3 +98,24 @@ def config_from_params(params: DataFrame, semantics: str = REFERENCE) -> Forecas
         max_week=str(row[MAX_YEAR_WEEK]),
         semantics=semantics,
     )
+
+
+def write_version(table: DataFrame, path: str) -> int:
+    """Keep a table as the next version under ``path``; earlier versions stay.  Returns its number."""
+    spark = table.sparkSession
+    number = current_number(spark, path) + 1
+    table.select("parameter", "value").write.mode("errorifexists").parquet(f"{path}/version={number}")
+    return number
+
+
+def current_number(spark: SparkSession, path: str) -> int:
+    """Number of the newest complete version, 0 without one."""
+    names = folder_names(spark, path)
+    numbers = [int(n.removeprefix("version=")) for n in names if n.startswith("version=")]
+    return max(filter(lambda n: "_SUCCESS" in folder_names(spark, f"{path}/version={n}"), numbers), default=0)
+
+
+def read_version(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """A version of the table, the newest one by default."""
+    number = current_number(spark, path) if number is None else number
+    return spark.read.schema("parameter string, value int").parquet(f"{path}/version={number}")

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from weekcast.config import REFERENCE, check_semantics
 from weekcast.functions.numbers import safe_div
-from weekcast.functions.weeks import week_index, week_number, weeks_in_year, year_number
+from weekcast.functions.weeks import (
+    first_week_index,
+    label_of_index,
+    week_index,
+    week_number,
+    year_number,
+)
 from weekcast.operators.keyed import match_null_safe
-from weekcast.operators.panel import shifted_join
-from weekcast.sources.schemas import PANEL_KEY, SERIES_KEY
-
-# Up to this half-width a frame around a week cannot hold two weeks numbered 53.
-_MAX_FRAME_HALF_WIDTH = 25
+from weekcast.sources.schemas import PANEL, PANEL_KEY, SERIES_KEY, name_of, named_as
 
 
 def half_width(window: int) -> int:
@@ -27,7 +29,7 @@ def visible_values(df: DataFrame, semantics: str) -> tuple[list[str], Column]:
     The reference looks values up with ``productseg1`` missing, so only rows
     without it are ever found; corrected look-ups use the row's own value.
     """
-    if "productseg1" not in df.columns:
+    if name_of(df, "productseg1") is None:
         return SERIES_KEY, F.lit(True)
     if semantics == REFERENCE:
         return SERIES_KEY, F.col("productseg1").isNull()
@@ -51,54 +53,59 @@ def weekly_moving_average(
     """Moving average per series and week over the weeks that exist around it.
 
     ``weekly`` has one row per (series, week), so a series is at most as long as
-    the calendar and one window pass over the series key is enough.  The
-    reference's backward shift over new year is expressed in the same pass: next
-    to a year of another length it reaches one week less, or one week further
-    and past week 53, so two shifted frames stand in for a look-up per week.
+    the calendar and one window pass over the series key is enough, at any width.
+    The reference's backward shift over new year is expressed in the same pass:
+    see :func:`_reference_reach`.
     """
     check_semantics(semantics)
     half = half_width(window)
-    if semantics == REFERENCE and half > _MAX_FRAME_HALF_WIDTH:
-        return _moving_average_by_join(weekly, keys, half, semantics)
-
     spec = Window.partitionBy(*keys).orderBy("week_idx")
     indexed = weekly.withColumn("week_idx", week_index(F.col("yearweek")))
 
-    def totals(value: Column, back: int) -> tuple[Column, Column]:
-        frame = spec.rangeBetween(-back, half)
-        return F.sum(value).over(frame), F.count(value).over(frame)
-
-    total, hits = totals(F.col("qty"), half)
-    if semantics == REFERENCE and half > 0:
-        year, week = year_number(F.col("yearweek")), week_number(F.col("yearweek"))
-        longer = weeks_in_year(year) - weeks_in_year(year - F.lit(1))
-        crosses = week <= half
-        nearer = totals(F.col("qty"), half - 1)
-        farther = totals(F.when(week != 53, F.col("qty")), half + 1)
-        after_short, after_long = crosses & (longer == 1), crosses & (longer == -1)
-        total = F.when(after_short, nearer[0]).when(after_long, farther[0]).otherwise(total)
-        hits = F.when(after_short, nearer[1]).when(after_long, farther[1]).otherwise(hits)
+    def totals(value: Column, first: int, last: int) -> tuple[Column, Column]:
+        frame = spec.rangeBetween(first, last)
+        return F.coalesce(F.sum(value).over(frame), F.lit(0.0)), F.count(value).over(frame)
+
+    if semantics != REFERENCE or half == 0:
+        total, hits = totals(F.col("qty"), -half, half)
+    else:
+        total, hits = totals(F.col("qty"), 0, half)
+        # Weeks 53 of earlier years are never met: the shift back over new year steps over them.
+        past = F.when(week_number(F.col("yearweek")) != 53, F.col("qty"))
+        reach = F.col("_reach")
+        indexed = indexed.withColumn("_reach", _reference_reach(half))
+        back, seen = F.lit(0.0), F.lit(0).cast("bigint")
+        slack = half // 52 + 2
+        for distance in range(max(1, half - slack), half + slack + 1):
+            some, count = totals(past, -distance, -1)
+            back = F.when(reach == distance, some).otherwise(back)
+            seen = F.when(reach == distance, count).otherwise(seen)
+        total, hits = total + back, hits + seen
     averaged = indexed.withColumns({"_total": total, "_hits": hits})
-    return averaged.select(
-        *keys,
-        "yearweek",
-        "qty",
-        safe_div(F.coalesce("_total", F.lit(0.0)), F.col("_hits")).alias("moving_avg"),
-    )
+    return averaged.select(*keys, "yearweek", "qty", safe_div(F.col("_total"), F.col("_hits")).alias("moving_avg"))
 
 
-def _moving_average_by_join(
-    weekly: DataFrame, keys: list[str], half: int, semantics: str
-) -> DataFrame:
-    known = weekly.filter(F.col("qty").isNotNull())
-    met = shifted_join(weekly, known, keys, "qty", range(-half, half + 1), semantics)
-    means = met.groupBy(*keys, "yearweek").agg(F.avg("met_value").alias("moving_avg"))
-    joined = match_null_safe(weekly, means, [*keys, "yearweek"], "left")
-    return joined.withColumn("moving_avg", F.coalesce("moving_avg", F.lit(0.0)))
+def _reference_reach(half: int) -> Column:
+    """How many weeks back the reference's shifts by 1 to ``half`` weeks reach.
+
+    Within the year that is ``half``.  Over new year the shift lands on a label of
+    the year it leaves and takes one off the year: the week met last lies one week nearer or farther
+    for each new year between years of different length.
+    """
+    year, week = year_number(F.col("yearweek")), week_number(F.col("yearweek"))
+    within = week - F.lit(half)
+    landing = label_of_index(first_week_index(year + F.lit(1)) + within - F.lit(1))
+    met_year, met_week = year_number(landing) - F.lit(1), week_number(landing)
+    # Week 53 of a year has no counterpart in the one before; the step before it met week 1 of the next.
+    farthest = F.when(met_week == 53, first_week_index(met_year + F.lit(1))).otherwise(
+        first_week_index(met_year) + met_week - F.lit(1)
+    )
+    return F.when(within > 0, F.lit(half)).otherwise(F.col("week_idx") - farthest)
 
 
 def moving_average(df: DataFrame, window: int = 5, semantics: str = REFERENCE) -> DataFrame:
     """Every row of ``df`` with the moving average of its week."""
+    df = named_as(df, PANEL)
     weekly, keys = weekly_quantity(df, semantics)
     means = weekly_moving_average(weekly, keys, window, semantics).drop("qty")
     joined = match_null_safe(df, means, [*keys, "yearweek"], "left")

@@ -30,7 +30,9 @@ _PANEL = f"{_K6}, yearweek, {_MEASURES}, qty, promotionNY"
 
 
 def _on(a: str, b: str, columns: list[str]) -> str:
-    return " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in columns)
+    """Equal keys; only the product segment can be missing, the others may be compared plainly."""
+    same = {"productseg1": "IS NOT DISTINCT FROM", "productSeg1": "IS NOT DISTINCT FROM"}
+    return " AND ".join(f"{a}.{c} {same.get(c, '=')} {b}.{c}" for c in columns)
 
 
 def _of(alias: str, columns: list[str]) -> str:
@@ -194,7 +196,7 @@ FROM panel_rows p JOIN means_{_semantics} m
 # max_week), f_hist (rows that make series), and f_look (one row per series and week).
 
 
-def _forecast_parts(f: str, keys: list[str], semantics: str) -> None:
+def _forecast_parts(f: str, keys: list[str], semantics: str, look: list[str] = K5) -> None:
     columns = ", ".join(keys)
     corrected = semantics == "corrected"
     divisor = "(base_back + 1)" if corrected else "4"
@@ -217,7 +219,7 @@ SELECT {_of("s", keys)},
        list_reduce(list(coalesce(l.seasonality, 0.0::DOUBLE) ORDER BY b.n),
                    lambda x, y: x + y) AS base_seasonality
 FROM {f}_series s CROSS JOIN {f}_base b
-LEFT JOIN {f}_look l ON {_on("s", "l", K5)} AND l.yearweek = b.target
+LEFT JOIN {f}_look l ON {_on("s", "l", look)} AND l.yearweek = b.target
 GROUP BY ALL
 """
     _PARTS[f"{f}_level"] = f"""
@@ -261,6 +263,12 @@ FROM {f}_week w JOIN {f}_level t ON {_on("w", "t", keys)}, {f}_cfg
 """
 
 
+def _first_value(order: str = "") -> str:
+    """Quantity and seasonality of the first row by both."""
+    by = f"ORDER BY qty {order} NULLS LAST, seasonality {order} NULLS LAST"
+    return f"first(qty {by}) AS qty, first(seasonality {by}) AS seasonality"
+
+
 def _stage_forecast(f: str, source: str, semantics: str, hist: str) -> None:
     """Forecast stage on a seasonality panel."""
     _PARTS[f"{f}_cfg"] = f"""
@@ -268,7 +276,7 @@ SELECT 2 AS half, 5 AS horizon, 3 AS base_back, max(yearweek) AS max_week FROM {
 """
     _PARTS[f"{f}_hist"] = hist
     _PARTS[f"{f}_look"] = f"""
-SELECT {_K5}, yearweek, min(qty) AS qty, min(seasonality) AS seasonality
+SELECT {_K5}, yearweek, {_first_value()}
 FROM {source} WHERE productseg1 IS NULL GROUP BY ALL
 """
     _forecast_parts(f, K6, semantics)
@@ -296,6 +304,19 @@ for _semantics in ("reference", "corrected"):
 _PARTS["selling"] = _active("seasonal_reference", "reference", "qty <> 0")
 _stage_forecast("fc_selling", "seasonal_reference", "reference", "SELECT * FROM selling")
 
+_PARTS["line_values"] = f"""
+SELECT 'A01' AS regionseg, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS productseg1,
+       p_type AS productgroup, c_mktsegment AS salesid, r_name AS regionseg3, noun AS item,
+       ship_week AS yearweek, l_quantity AS qty, l_discount AS seasonality
+FROM order_lines
+"""
+for _semantics, _look, _seen in (("reference", K5, "WHERE productseg1 IS NULL"), ("corrected", K6, "")):
+    _stage_forecast(f"lines_{_semantics}", "line_values", _semantics, "SELECT * FROM line_values")
+    _PARTS[f"lines_{_semantics}_look"] = f"""
+SELECT {", ".join(_look)}, yearweek, {_first_value()} FROM line_values {_seen} GROUP BY ALL
+"""
+    _forecast_parts(f"lines_{_semantics}", K6, _semantics, _look)
+
 _PARTS["mart"] = f"""
 SELECT {_K5}, yearweek, substr(yearweek, 1, 4) AS year, substr(yearweek, 5, 2) AS week,
        {_MEASURES}, qty, CASE WHEN promotionNY = 'Y' THEN 1 ELSE 0 END AS promotionNY,
@@ -318,7 +339,7 @@ FROM valid_entries
     _PARTS[f"{f}_hist"] = f"SELECT mart.* FROM mart, {f}_cfg WHERE yearweek <= max_week"
     seen = f"{f}_hist" if corrected else "mart"
     _PARTS[f"{f}_known"] = f"""
-SELECT {_K5}, yearweek, max(qty) AS qty, max(seasonality) AS seasonality FROM {seen} GROUP BY ALL
+SELECT {_K5}, yearweek, {_first_value("DESC")} FROM {seen} GROUP BY ALL
 """
     _PARTS[f"{f}_probes"] = f"""
 SELECT {_K5}, yearweek FROM {f}_hist
@@ -395,7 +416,13 @@ def statement(final: str) -> str:
         visit(name, ())
     if not ordered:
         return final
-    parts = ",\n".join(f"{name} AS ({sql})" for name, sql in ordered.items())
+    uses = [n for sql in (final, *ordered.values()) for n in _needs(sql)]
+
+    def kind(name: str) -> str:
+        # A recursive part refers to itself; one that several others name is computed once.
+        return "" if name in _needs(ordered[name]) or uses.count(name) < 2 else "MATERIALIZED "
+
+    parts = ",\n".join(f"{name} AS {kind(name)}({sql})" for name, sql in ordered.items())
     return f"WITH RECURSIVE {parts}\n{final}"
 
 
@@ -423,6 +450,7 @@ _POINT = "max(time_series) AS value FROM mart GROUP BY regionseg3, item, yearwee
 
 _FINAL = {
     "csv_roundtrip": "SELECT * FROM promo",
+    "csv_reordered": "SELECT * FROM promo",
     "scan_all": "SELECT * FROM sales",
     "partitioned_roundtrip": f"SELECT {_MART} FROM mart",
     "preview_top2": f"SELECT * FROM sales ORDER BY {_LINE}, yearweek, qty LIMIT 2",
@@ -486,6 +514,8 @@ JOIN seasonal_reference q ON {_on("s", "q", K6)} AND substr(q.yearweek, 5, 2) =
  AND substr(q.yearweek, 1, 4) < substr(a.yw, 1, 4)""",
     "base_window_ref": f"SELECT {_K6}, base_qty, base_seasonality FROM all_reference_level",
     "base_window_cor": f"SELECT {_K6}, base_qty, base_seasonality FROM all_corrected_level",
+    "base_window_lines_ref": f"SELECT {_K6}, base_qty, base_seasonality FROM lines_reference_level",
+    "base_window_lines_cor": f"SELECT {_K6}, base_qty, base_seasonality FROM lines_corrected_level",
     "base_level_ref": f"SELECT {_K6}, fcst FROM all_reference_level",
     "base_level_cor": f"SELECT {_K6}, fcst FROM all_corrected_level",
     "week_of_year_seasonality_ref": "SELECT * FROM all_reference_week",
@@ -497,8 +527,13 @@ JOIN seasonal_reference q ON {_on("s", "q", K6)} AND substr(q.yearweek, 5, 2) =
     "param_append": """SELECT * FROM resolved_entries UNION ALL SELECT * FROM valid_entries""",
     "param_update": f"""SELECT parameter, CASE WHEN parameter = 'average_window'
 THEN {UPDATED_WINDOW} ELSE value END AS value FROM entries""",
+    "param_versions": f"""SELECT parameter, CASE WHEN parameter = 'average_window'
+THEN {UPDATED_WINDOW} ELSE value END AS value
+FROM (SELECT * FROM resolved_entries UNION ALL SELECT * FROM valid_entries)""",
     "resolve_params": "SELECT * FROM resolved_entries",
     "reforecast_ref": "SELECT * FROM re_ref_rows",
+    "reforecast_upper_columns": "SELECT * FROM re_ref_rows",
+    "reforecast_job": "SELECT * FROM re_ref_rows",
     "reforecast_recompute": "SELECT * FROM re_new_rows",
     "reforecast_cor": "SELECT * FROM re_cor_rows",
     "reforecast_recompute_cor": "SELECT * FROM re_new_cor_rows",
@@ -515,6 +550,11 @@ AND CAST(yearweek AS INTEGER) < {BEFORE_WEEK}""",
 AND CAST(yearweek AS INTEGER) > {AFTER_WEEK}""",
     "drill_down": f"""SELECT {_MART} FROM mart WHERE regionseg = '{REGION}'
 AND productgroup = '{GROUP}' AND {_SITE_ITEM} ORDER BY yearweek""",
+    "drill_down_series": f"""SELECT regionseg, regionseg3, productgroup, item,
+CAST(row_number() OVER (PARTITION BY regionseg, regionseg3, productgroup, item ORDER BY yearweek) - 1
+AS INTEGER) AS pos, yearweek, value FROM (
+  SELECT regionseg, regionseg3, productgroup, item, yearweek, max(time_series) AS value FROM mart
+  WHERE regionseg = '{REGION}' AND productgroup = '{GROUP}' GROUP BY ALL)""",
     "item_series": f"SELECT yearweek, time_series FROM mart WHERE {_SITE_ITEM} ORDER BY yearweek",
     "item_list": "SELECT DISTINCT item FROM mart ORDER BY item",
     "row_count": "SELECT count(*) AS row_count FROM mart",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,17 +14,26 @@ from weekcast.operators.panel import gap_fill, join_promotions, promotion_flag
 from weekcast.operators.parameters import config_from_params
 from weekcast.operators.promotions import filter_valid_promotions, refine_prices
 from weekcast.operators.seasonality import add_seasonality
+from weekcast.sources.schemas import MART, PROMOTION, SALES, conform
 from weekcast.sources.shared import shared_folder, write_stage
 
+#: Order of a mart's rows inside a year: product group and item first, which browsing filters on.
+MART_ORDER = ["productgroup", "item", "regionseg3", "yearweek"]
+
+
+def write_mart(mart: DataFrame, folder: str, name: str = "mart") -> DataFrame:
+    """Write a mart by year, its files in an order that lets a reader skip product groups."""
+    return write_stage(conform(mart, MART), folder, name, partition_by=["year"], sort_by=MART_ORDER)
+
 
 def price_promotions(promo: DataFrame) -> DataFrame:
     """Valid promotions at their refined prices."""
-    return refine_prices(filter_valid_promotions(promo))
+    return refine_prices(filter_valid_promotions(conform(promo, PROMOTION)))
 
 
 def build_panel(sales: DataFrame, promo: DataFrame) -> DataFrame:
     """Sales with refined promotions, all weeks present, promotions flagged."""
-    return promotion_flag(gap_fill(join_promotions(sales, price_promotions(promo))))
+    return promotion_flag(gap_fill(join_promotions(conform(sales, SALES), price_promotions(promo))))
 
 
 @dataclass(frozen=True)
@@ -49,12 +59,12 @@ def run_stages(
     written table keeps those reads narrow and ends the lineage.
     """
     target = folder or shared_folder(spark)
-    joined = write_stage(join_promotions(sales, price_promotions(promo)), target, "joined")
+    joined = write_stage(join_promotions(conform(sales, SALES), price_promotions(promo)), target, "joined")
     panel = write_stage(promotion_flag(gap_fill(joined)), target, "panel")
     seasonal = write_stage(
         add_seasonality(panel, config.average_window, config.semantics), target, "seasonality"
     )
-    mart = write_stage(final_mart(forecast(seasonal, config)), target, "mart")
+    mart = write_mart(final_mart(forecast(seasonal, config)), target)
     return StagedMart(joined, panel, seasonal, mart)
 
 
@@ -63,3 +73,17 @@ def reforecast_with_params(
 ) -> DataFrame:
     """Forecast again with the settings of a parameter table."""
     return reforecast(mart, config_from_params(params, semantics), recompute)
+
+
+def run_reforecast(
+    read_params: Callable[[], DataFrame],
+    read_mart: Callable[[], DataFrame],
+    write_result: Callable[[DataFrame], None],
+    recompute: bool = False,
+    semantics: str = REFERENCE,
+) -> None:
+    """The production job: parameter table and mart from any source, the result to any sink.
+
+    Readers and writers are those of ``sources``, a database's or a table's; the mart's names may be in any case.
+    """
+    write_result(reforecast_with_params(conform(read_mart(), MART), read_params(), recompute, semantics))

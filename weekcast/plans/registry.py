@@ -21,7 +21,7 @@ from weekcast.operators import panel as panels
 from weekcast.operators import seasonality as seasonal
 from weekcast.plans import jobs
 from weekcast.sources import files, schemas, star_schema
-from weekcast.sources.shared import shared_folder, write_stage
+from weekcast.sources.shared import drop_folder, identity, shared_folder, write_stage
 
 K5, K6 = schemas.SERIES_KEY, schemas.PANEL_KEY
 _SALES_SERIES = [
@@ -44,21 +44,37 @@ class Stages:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.folder = shared_folder(spark)
+        self._rewritten: dict[str, str] = {}
 
     def _write(self, df: DataFrame, name: str) -> DataFrame:
         return write_stage(df, self.folder, name)
 
+    def rewritten(self, name: str) -> str:
+        """A new path for a copy that a query writes on every call; the one before it is deleted."""
+        if name in self._rewritten:
+            drop_folder(self.spark, self._rewritten[name])
+        self._rewritten[name] = f"{shared_folder(self.spark)}/{name}"
+        return self._rewritten[name]
+
     @cached_property
     def lines(self):
-        return star_schema.sales_lines(self.spark, self.sf_dir)
+        return self._write(star_schema.sales_lines(self.spark, self.sf_dir), "lines")
+
+    @cached_property
+    def line_values(self):
+        return self._write(star_schema.line_values(self.spark, self.sf_dir), "line_values")
+
+    @cached_property
+    def weekly_lines(self):
+        return self._write(star_schema.weekly_lines(self.spark, self.sf_dir), "weekly_lines")
 
     @cached_property
     def sales(self):
-        return self._write(star_schema.sales(self.spark, self.sf_dir), "sales")
+        return self._write(star_schema.sales(self.weekly_lines), "sales")
 
     @cached_property
     def promotions(self):
-        return self._write(star_schema.promotions(self.spark, self.sf_dir), "promotions")
+        return self._write(star_schema.promotions(self.weekly_lines), "promotions")
 
     @cached_property
     def entries(self):
@@ -88,7 +104,7 @@ class Stages:
 
     @cached_property
     def mart(self):
-        return self._write(browse.final_mart(forecasting.forecast(self.seasonal)), "mart")
+        return jobs.write_mart(browse.final_mart(forecasting.forecast(self.seasonal)), self.folder)
 
     def seasonal_of(self, semantics: str) -> DataFrame:
         return self.seasonal if semantics == REFERENCE else self.seasonal_cor
@@ -110,14 +126,16 @@ class Stages:
         return self.parameter_table.withColumn("value", F.coalesce(moved, F.col("value")))
 
 
-_stages: dict[tuple[str, str], Stages] = {}
+_stages: dict[tuple[str, str], tuple[str, Stages]] = {}
 
 
 def stages(spark: SparkSession, sf_dir: str) -> Stages:
+    """The stages of a folder; when its tables change, new ones."""
     key = (spark.conf.get("spark.app.id"), str(sf_dir).rstrip("/"))
-    if key not in _stages:
-        _stages[key] = Stages(spark, key[1])
-    return _stages[key]
+    now = identity(spark, key[1])
+    if key not in _stages or _stages[key][0] != now:
+        _stages[key] = (now, Stages(spark, key[1]))
+    return _stages[key][1]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,11 +152,19 @@ def query(make: Callable[[Stages], DataFrame]) -> Callable[[Stages], DataFrame]:
 
 @query
 def csv_roundtrip(t: Stages):
-    path = f"{shared_folder(t.spark)}/promotions.csv"
+    path = t.rewritten("promotions.csv")
     files.write_csv(t.promotions, path)
     return files.read_csv(t.spark, path, schemas.PROMOTION)
 
 
+@query
+def csv_reordered(t: Stages):
+    path = t.rewritten("reordered.csv")
+    other = t.promotions.select(*[F.col(c).alias(c.upper()) for c in reversed(t.promotions.columns)], F.lit("x").alias("note"))
+    files.write_csv(other, path)
+    return files.read_csv(t.spark, path, schemas.PROMOTION)
+
+
 @query
 def scan_all(t: Stages):
     t.sales.createOrReplaceTempView("weekly_sales")
@@ -147,7 +173,7 @@ def scan_all(t: Stages):
 
 @query
 def partitioned_roundtrip(t: Stages):
-    path = f"{shared_folder(t.spark)}/mart_by_year"
+    path = t.rewritten("mart_by_year")
     files.write_table(t.mart, path, partition_by=["year"])
     return files.read_table(t.spark, path, schemas.MART).select(*schemas.MART_COLUMNS)
 
@@ -419,6 +445,23 @@ def base_window_cor(t: Stages):
     return _series(t, CORRECTED).select(*K6, "base_qty", "base_seasonality")
 
 
+def _line_series(t: Stages, semantics: str):
+    rows, config = t.line_values, ForecastConfig(semantics=semantics)
+    calendar = forecasting.forecast_calendar(rows, config)
+    series = forecasting.first_years(rows, K6)
+    return forecasting.series_frame(series, rows, calendar, config).select(*K6, "base_qty", "base_seasonality")
+
+
+@query
+def base_window_lines_ref(t: Stages):
+    return _line_series(t, REFERENCE)
+
+
+@query
+def base_window_lines_cor(t: Stages):
+    return _line_series(t, CORRECTED)
+
+
 @query
 def base_level_ref(t: Stages):
     return _series(t, REFERENCE).select(*K6, "fcst")
@@ -481,6 +524,17 @@ def param_update(t: Stages):
     return parameters.update_param(t.typed_entries, "average_window", UPDATED_WINDOW)
 
 
+@query
+def param_versions(t: Stages):
+    path = t.rewritten("parameters")
+    parameters.write_version(parameters.resolve_params(t.entries), path)
+    appended = parameters.append_params(parameters.read_version(t.spark, path), t.typed_entries)
+    parameters.write_version(appended, path)
+    updated = parameters.update_param(parameters.read_version(t.spark, path), "average_window", UPDATED_WINDOW)
+    parameters.write_version(updated, path)
+    return parameters.read_version(t.spark, path)
+
+
 @query
 def resolve_params(t: Stages):
     return parameters.resolve_params(t.entries)
@@ -491,6 +545,27 @@ def reforecast_ref(t: Stages):
     return jobs.reforecast_with_params(t.mart, t.parameter_table)
 
 
+def _upper(df: DataFrame) -> DataFrame:
+    return files.normalize_columns(df, upper=True)
+
+
+@query
+def reforecast_upper_columns(t: Stages):
+    return jobs.reforecast_with_params(_upper(t.mart), t.parameter_table)
+
+
+@query
+def reforecast_job(t: Stages):
+    mart, result = t.rewritten("job_mart"), t.rewritten("job_result")
+    files.write_table(_upper(t.mart), mart)
+    jobs.run_reforecast(
+        lambda: t.parameter_table,
+        lambda: files.read_table(t.spark, mart),
+        lambda rows: files.write_table(_upper(rows), result),
+    )
+    return files.read_table(t.spark, result, schemas.MART)
+
+
 @query
 def reforecast_recompute(t: Stages):
     return jobs.reforecast_with_params(t.mart, t.parameter_table, recompute=True)
@@ -561,6 +636,15 @@ def drill_down(t: Stages):
     )
 
 
+@query
+def drill_down_series(t: Stages):
+    arrays = browse.drill_down_series(t.mart, regionseg=REGION, productgroup=GROUP)
+    keys = ["regionseg", "regionseg3", "productgroup", "item"]
+    return arrays.select(*keys, F.posexplode("points").alias("pos", "point")).select(
+        *keys, "pos", "point.yearweek", "point.value"
+    )
+
+
 @query
 def item_series(t: Stages):
     return browse.item_series(t.mart, SITE, ITEM)

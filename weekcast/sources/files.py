@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weekcast.sources.schemas import as_text
+from weekcast.sources.schemas import conform
 
 
 def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -22,20 +22,17 @@ def normalize_columns(df: DataFrame, upper: bool = False) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read comma-separated text with a header and cast it once, at the edge.
+    """Read comma-separated text by the names of its header and cast it once, at the edge.
 
-    The file is read as text with an explicit schema (no inference pass), and
-    ``enforceSchema`` is off so that a header in another order is an error
+    Columns may come in any order and case, and others beside them; a missing
+    one is an error.  Only the first header is read beforehand (no inference pass);
+    ``enforceSchema`` is off, so that a part file with another header is an error
     instead of a silent column swap.
     """
-    raw = (
-        spark.read.schema(as_text(schema))
-        .option("header", True)
-        .option("sep", ",")
-        .option("enforceSchema", False)
-        .csv(path)
-    )
-    return cast_to(raw, schema)
+    reader = spark.read.option("header", True).option("sep", ",")
+    names = reader.csv(path).columns
+    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return conform(reader.schema(text).option("enforceSchema", False).csv(path), schema)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -44,24 +41,34 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a parquet table; with a schema given, no footer is read for inference."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    """Read a parquet table; with a schema given, its names hold whatever the case in the files.
+
+    A declared column that the table lacks is an error, not a column of nulls.
+    """
+    found = spark.read.parquet(path)
+    return found if schema is None else conform(found, schema)
 
 
 def write_table(
-    df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    partition_by: list[str] | None = None,
+    sort_by: list[str] | None = None,
 ) -> None:
     """Write a parquet table.
 
     With ``partition_by``, rows are first rebalanced on those columns: adaptive
     execution merges small pieces and splits an outsized value over several
-    tasks, so one hot value neither floods a task nor leaves tiny files.
+    tasks, so one hot value neither floods a task nor leaves tiny files.  ``sort_by``
+    orders the rows of each file, so that a reader can skip parts of it.
     """
     if not partition_by:
         df.write.mode(mode).parquet(path)
         return
     balanced = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if sort_by:
+        balanced = balanced.sortWithinPartitions(*partition_by, *sort_by)
     balanced.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 

@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekcast.sources.files import normalize_columns
+
 
 def split_options(column: str, lower, upper, partitions: int) -> dict[str, str]:
     """JDBC options that split a read by ranges of a column."""
@@ -47,26 +49,35 @@ def read_jdbc(
     predicates: Sequence[str] | None = None,
     fetch_size: int = 10_000,
 ) -> DataFrame:
-    """Read a table in parallel; filters and column choices run in the database."""
+    """Read a table in parallel; filters and column choices run in the database.
+
+    Names come in lower case; ``schemas.conform`` gives them their declared form.
+    """
     if (split is None) == (predicates is None):
         raise ValueError("give either split (see split_options) or predicates")
     settings = {"fetchsize": str(fetch_size), **properties}
     if predicates is not None:
-        return spark.read.jdbc(url, table, predicates=list(predicates), properties=settings)
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **settings, **split).load()
+        rows = spark.read.jdbc(url, table, predicates=list(predicates), properties=settings)
+    else:
+        rows = spark.read.format("jdbc").options(url=url, dbtable=table, **settings, **split).load()
+    return normalize_columns(rows)
 
 
 def read_parameters(
     spark: SparkSession, url: str, table: str, properties: Mapping[str, str], names: Sequence[str]
 ) -> DataFrame:
     """Read the parameter table: the database reduces it to one row per known name."""
-    wanted = ", ".join(f"'{name}'" for name in names)
-    query = (
-        f"SELECT parameter, MAX(value) AS value FROM {table} "
+    rows = spark.read.format("jdbc").options(url=url, query=parameter_query(table, names), **properties).load()
+    return rows.select(F.col("parameter"), F.col("value").cast("string").alias("value"))
+
+
+def parameter_query(table: str, names: Sequence[str]) -> str:
+    """The largest value of each name, compared as numbers also where the column holds text."""
+    wanted = ", ".join("'{}'".format(name.replace("'", "''")) for name in names)
+    return (
+        f"SELECT parameter, MAX(CAST(value AS DECIMAL(20, 4))) AS value FROM {table} "
         f"WHERE parameter IN ({wanted}) GROUP BY parameter"
     )
-    rows = spark.read.format("jdbc").options(url=url, query=query, **properties).load()
-    return rows.select(F.col("parameter"), F.col("value").cast("string").alias("value"))
 
 
 def write_jdbc(
@@ -78,12 +89,26 @@ def write_jdbc(
     mode: str = "overwrite",
     connections: int = 16,
     batch_size: int = 10_000,
+    truncate: bool = False,
 ) -> None:
-    """Write a table over a bounded number of connections, upper-case column names."""
-    renamed = df.toDF(*[c.upper() for c in df.columns])
-    (
-        renamed.write.mode(mode)
-        .option("numPartitions", connections)
-        .option("batchsize", batch_size)
-        .jdbc(url, table, properties=dict(properties))
-    )
+    """Write a table over a bounded number of connections, upper-case column names.
+
+    The rows are dealt anew to that many tasks: a bound on the connections alone would make the
+    stage before run in as few.  ``truncate`` keeps a table that is overwritten, with its
+    types and grants, instead of dropping it.
+    """
+    written = outgoing(df, connections).write.mode(mode).options(**write_options(connections, batch_size, truncate))
+    written.jdbc(url, table, properties=dict(properties))
+
+
+def outgoing(df: DataFrame, connections: int) -> DataFrame:
+    """The rows as they go out: upper-case names, one task per connection."""
+    return df.toDF(*[c.upper() for c in df.columns]).repartition(connections)
+
+
+def write_options(connections: int, batch_size: int, truncate: bool) -> dict[str, str]:
+    return {
+        "numPartitions": str(connections),
+        "batchsize": str(batch_size),
+        "truncate": str(truncate).lower(),
+    }

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weekcast.sources.files import write_table
+
 _local_folders: dict[str, str] = {}
 
 
@@ -18,7 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "local")
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         app = spark.conf.get("spark.app.id", "local")
         if app not in _local_folders:
@@ -27,12 +31,47 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/weekcast-{uuid.uuid4().hex}"
 
 
-def write_stage(df: DataFrame, folder: str, name: str) -> DataFrame:
+def write_stage(
+    df: DataFrame,
+    folder: str,
+    name: str,
+    partition_by: list[str] | None = None,
+    sort_by: list[str] | None = None,
+) -> DataFrame:
     """Write a stage as a parquet table and return a scan of it.
 
     This ends the lineage: later stages read only the columns they need, and a
     lost executor costs a re-read instead of a recomputation from the sources.
+    Every attempt writes to a path of its own, so a failed one blocks nothing.
     """
-    path = f"{folder}/{name}"
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    path = f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+    write_table(df, path, "errorifexists", partition_by, sort_by)
+    scan = df.sparkSession.read.schema(df.schema).parquet(path)
+    return scan.select(*df.columns) if partition_by else scan
+
+
+def _path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a writer here made, through the file system it lies in."""
+    found, system = _path(spark, path)
+    system.delete(found, True)
+
+
+def identity(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of the tables in a folder: changes when one of them is written anew."""
+    found, system = _path(spark, folder)
+    entries = []
+    for table in system.listStatus(found):
+        parts = system.listStatus(table.getPath()) if table.isDirectory() else [table]
+        entries += [(p.getPath().toString(), p.getLen(), p.getModificationTime()) for p in parts]
+    return hashlib.sha256(repr(sorted(entries)).encode()).hexdigest()
+
+
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none where it does not exist."""
+    found, system = _path(spark, folder)
+    return [e.getPath().getName() for e in system.listStatus(found)] if system.exists(found) else []

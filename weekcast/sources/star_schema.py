@@ -63,38 +63,48 @@ def sales_lines(spark: SparkSession, folder: str) -> DataFrame:
     return _as_sales(_order_lines(spark, folder), "l_quantity")
 
 
-def sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Weekly sales: one row per series and week."""
-    weekly = (
+def weekly_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines summed up per region, key and Monday: sales and promotions both roll up from it.
+
+    The price counts as unknown where R is the lowest return flag; two boolean
+    aggregates say so without sorting the lines, as a minimum over text would.
+    """
+    flag, cheap = F.col("l_returnflag"), F.col("l_discount") >= 0.05
+    return (
         _order_lines(spark, folder)
         .groupBy("regionseg", "salesid", "regionseg3", "productgroup", "item", "ship_monday")
-        .agg(F.sum("l_quantity").alias("quantity"))
+        .agg(
+            F.sum("l_quantity").alias("quantity"),
+            F.min(F.when(cheap, F.col("o_orderdate"))).alias("first_order"),
+            F.bool_and(F.when(cheap, flag >= "R")).alias("from_r_on"),
+            F.bool_or(F.when(cheap, flag == "R")).alias("any_r"),
+            F.max(F.when(cheap, F.col("l_extendedprice") / F.col("l_quantity"))).alias("unit_price"),
+            F.max(F.when(cheap, F.col("l_discount"))).alias("discount"),
+        )
     )
-    return _as_sales(weekly, "quantity")
 
 
-def promotions(spark: SparkSession, folder: str) -> DataFrame:
-    """Promotions: discounted lines summarised per key and week.
+def sales(weekly: DataFrame) -> DataFrame:
+    """Weekly sales: one row per series and week."""
+    return _as_sales(weekly, "quantity")
 
-    The price counts as unknown where R is the lowest return flag; two boolean
-    aggregates say so without sorting the lines, as a minimum over text would.
-    """
-    flag = F.col("l_returnflag")
-    weekly = (
-        _order_lines(spark, folder)
-        .filter(F.col("l_discount") >= 0.05)
+
+def promotions(weekly: DataFrame) -> DataFrame:
+    """Promotions: discounted lines summarised per key and week, over all regions."""
+    rolled = (
+        weekly.filter(F.col("first_order").isNotNull())
         .groupBy("regionseg", "salesid", "productgroup", "item", "ship_monday")
         .agg(
-            F.min("o_orderdate").alias("first_order"),
-            F.bool_and(flag >= "R").alias("from_r_on"),
-            F.bool_or(flag == "R").alias("any_r"),
-            F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-            F.max("l_discount").alias("discount"),
+            F.min("first_order").alias("first_order"),
+            F.bool_and("from_r_on").alias("from_r_on"),
+            F.bool_or("any_r").alias("any_r"),
+            F.max("unit_price").alias("unit_price"),
+            F.max("discount").alias("discount"),
         )
     )
     lowest_is_r = F.col("from_r_on") & F.col("any_r")
     price = F.when(lowest_is_r, F.lit(0)).otherwise(F.floor("unit_price"))
-    return weekly.select(
+    return rolled.select(
         "regionseg",
         "salesid",
         "productgroup",
@@ -109,6 +119,23 @@ def promotions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def line_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as rows of a seasonality table: many rows of a series and week, whose quantity and
+    seasonality (the discount) do not rise together, and a product segment on some of them."""
+    flag = F.col("l_returnflag")
+    return _order_lines(spark, folder).select(
+        "regionseg",
+        F.when(flag != "N", flag).alias("productseg1"),
+        "productgroup",
+        "salesid",
+        "regionseg3",
+        "item",
+        date_year_week(F.col("ship_monday")).alias("yearweek"),
+        F.col("l_quantity").alias("qty"),
+        F.col("l_discount").alias("seasonality"),
+    )
+
+
 def parameter_entries(spark: SparkSession, folder: str) -> DataFrame:
     """Parameter entries typed by users, one per event; values are numeric text."""
     kind = F.col("event_type")
