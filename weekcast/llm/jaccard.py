@@ -43,7 +43,7 @@ LINKS = "key long, root long, links long"
 
 def counted_share(scale: int, percent: int) -> float:
     """The part of the hash space whose tokens make prefixes of sets of 2**scale tokens and more."""
-    return min(1.0, 1.6 * (1 - percent / 100) + 2 / 2 ** (scale / 2))
+    return min(1.0, 1.3 * (1 - percent / 100) + 1.2 / 2 ** (scale / 2))
 
 
 def share_bound(scale: int, percent: int) -> np.uint64:
@@ -146,10 +146,15 @@ def signatures(hits: DataFrame, percent: int) -> DataFrame:
 
 def families(found: DataFrame, percent: int) -> DataFrame:
     """(key, family) of every class that shares a signature with another."""
-    postings = found.where("tokens IS NOT NULL").select("key", "main", "n", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
-    shared = postings.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("df"))
-    shared = written(shared.where("low != high").select("token", "df"), "shared")
-    hits = joined_split(postings, shared, "token").groupBy("key", "main", "n", "size").agg(F.collect_set(F.struct("df", "token")).alias("hits"))
+    # A class may come from several tasks; its tokens then count several times, like shared ones, which only costs a signature.
+    tokens = found.where("tokens IS NOT NULL")
+    place = F.when(F.col("main"), F.col("key")).otherwise(F.bitwise_not("key"))
+    shared = tokens.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+    shared = written(shared.where("df > 1"), "shared")
+    postings = tokens.select(place.alias("place"), F.explode("tokens").alias("token"))
+    hits = joined_split(postings, shared, "token").groupBy("place").agg(F.collect_set(F.struct("df", "token")).alias("hits"))
+    sizes = tokens.select(place.alias("place"), "key", "main", "n", F.size("tokens").alias("size")).groupBy("place", "key", "main", "n", "size").agg(F.count("*"))
+    hits = joined_split(hits, sizes, "place").select("key", "main", "n", "size", "hits")
     sigs = written(signatures(hits, percent), "signatures")
     leaders = sigs.groupBy("sig").agg(F.min("key").alias("leader"), F.max("key").alias("last")).where("leader != last").drop("last")
     edges = joined_split(sigs, leaders, "sig").select(F.col("key").alias("a"), F.col("leader").alias("b"))
@@ -303,8 +308,10 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> Data
     found = jaccard_components(docs, k, percent).where("kept")
     lone = F.col("n_shingles").eqNullSafe(0) | F.col("doc_id").isNull()
     kept = written(found.groupBy("_row").agg((F.count("*") > 1).alias("_several"), F.first(lone).alias("_lone")), "kept")
-    rows = joined_split(with_rows(docs), kept, "_row")
     several = F.col("_several") & ~F.col("_lone")
+    rows = joined_split(with_rows(docs), kept, "_row")
+    if kept.where(several).isEmpty():
+        return rows.select(*docs.columns)
     # A row that comes several times, the same id and text, stays once.
     once = rows.where(several).dropDuplicates(["_row"])
     return rows.where(~several).unionByName(once).select(*docs.columns)
