@@ -34,9 +34,9 @@ KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 WINDOW = 20
 #: Class of a candidate run and the entropy in bits a window of it must reach.
 CLASSES = (
-    ("hex", re.compile(r"[0-9a-fA-F]+"), 3.0),
-    ("alnum", re.compile(r"[0-9A-Za-z]+"), 3.6),
-    ("base64", re.compile(r"[0-9A-Za-z+/=_-]+"), 3.8),
+    ("hex", re.compile(r"[0-9a-fA-F]+"), 2.8),
+    ("alnum", re.compile(r"[0-9A-Za-z]+"), 3.3),
+    ("base64", re.compile(r"[0-9A-Za-z+/=_-]+"), 3.5),
 )
 #: Runs that look random and are none: UUIDs, dates and numbers, paths and dashed words, placeholders.
 ALLOWED = re.compile(
