@@ -216,6 +216,9 @@ def test_repeats_against_brute_force(spark, small, odd):
     own += [(2000, "ab" * 700), (2001, "é" * 600), (2002, "u" * 399), (2003, "u" * 400)]
     # Ninety blocks of one anchor: more than are sorted together.
     own += [(3000 + k, passage[:600] + str(k) * 5 + passage[600:1200]) for k in range(suffix.TOGETHER + 20)]
+    # One passage in many texts, each with its own words around it.
+    around = lambda: "".join(rng.choice("mnop ") for _ in range(400))
+    own += [(4000 + k, around() + passage[:500] + around()) for k in range(suffix.TOGETHER + 30)]
     docs = small("documents").select("doc_id", "text").unionByName(spark.createDataFrame(own, "doc_id long, text string"))
     docs = docs.unionByName(odd.where("doc_id <> 5 OR doc_id IS NULL").select("doc_id", "text"))
     key = lambda r: (r[0] is None, r[0] or 0, r[1:])

@@ -10,7 +10,8 @@ anchor; neighbouring windows mostly share theirs and make up one block, a stretc
    the suffixes smaller than their successors, the others follow from scans over the buckets; adjacent common prefixes
    of at least ``length`` bytes mark repeated windows.
 3. An anchor with many blocks would overload a task.  Its blocks are cut into pieces of ``STEP`` windows, and
-   pieces meet only where the bytes that all their windows share are equal.
+   pieces meet only where the bytes that all their windows share are equal.  Where still too many meet, at the
+   ends of a passage that stands in very many texts, single windows do.
 
 Defined results: a null or empty text, and any shorter than ``length``, keeps all its bytes; repeated rows are repeated text, so both
 lose it; a null id is kept as such; an empty table gives no rows; other columns are ignored.
@@ -43,6 +44,7 @@ PLACE_BITS = U64(9)
 BLOCKS = "row long, start long, size int, anchor long, content long, again boolean"
 SLICES = "anchor long, hot boolean, row long, start long, many boolean, bytes binary"
 PIECES = "bucket long, content long, row long, start long, size int, many boolean"
+WINDOWS = "window long, row long, start long, many boolean"
 SPANS = "row long, start long, stop long"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -271,6 +273,22 @@ def pieces(hot: DataFrame, length: int, with_bytes: bool) -> DataFrame:
     return hot.mapInArrow(run, schema)
 
 
+def single_windows(crowded: DataFrame, length: int) -> DataFrame:
+    """Every window of the given pieces by its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in WINDOWS.split(", ")]
+        for batch in batches:
+            parts = []
+            for row, start, many, data in zip(*(batch.column(c).to_pylist() for c in ("row", "start", "many", "bytes"))):
+                found = SpanHash(np.frombuffer(data, np.uint8)).windows(length).astype(np.int64)
+                parts.append((found, np.full(len(found), row), start + np.arange(len(found)), np.full(len(found), many)))
+            columns = [np.concatenate(c) for c in zip(*parts)] if parts else [[]] * 4
+            yield as_arrow(WINDOWS, dict(zip(names, columns)))
+
+    return crowded.mapInArrow(run, WINDOWS)
+
+
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """(row, start, stop) of stretches all of whose windows are repeated; every repeated window is in one."""
     found = written(blocks(docs, length), "blocks")
@@ -294,9 +312,16 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     kept = written(kept, "pieces")
     twice = kept.where("times > 1").select("bucket", F.col("content").alias("__content"))
     also = parts.join(twice, parts["content"].eqNullSafe(twice["__content"]) & parts["bucket"].eqNullSafe(twice["bucket"]), "left_semi")
-    several = kept.groupBy("bucket").agg(F.count("*").alias("kinds")).where("kinds > 1").select("bucket")
-    rest = joined_split(kept, several, "bucket").select(F.col("bucket"), F.col("one.row").alias("row"), F.col("one.start").alias("start"), (F.col("many") | (F.col("times") > 1)).alias("many"))
-    rest = pieces(hot, length, True).drop("many").join(rest, ["bucket", "row", "start"]).select("bucket", "row", "start", "many", "bytes")
+    several = kept.groupBy("bucket").agg(F.count("*").alias("kinds")).where("kinds > 1").select("bucket", (F.col("kinds") > TOGETHER).alias("crowded"))
+    rest = joined_split(kept, several, "bucket").select(
+        "bucket", "crowded", F.col("one.row").alias("row"), F.col("one.start").alias("start"), (F.col("many") | (F.col("times") > 1)).alias("many")
+    )
+    rest = pieces(hot, length, True).drop("many").join(rest, ["bucket", "row", "start"]).select("bucket", "crowded", "row", "start", "many", "bytes")
+    rest = written(rest, "rest")
+    windows = single_windows(rest.where("crowded"), length)
+    repeated = windows.groupBy("window").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("times")).where("times > 1").select("window")
+    windows = joined_split(windows, repeated, "window").where(~F.col("many"))
+    rest = rest.where(~F.col("crowded")).drop("crowded")
     cold = cut.where(~F.col("hot")).select(F.col("anchor").alias("bucket"), "row", "start", "many", "bytes")
     ready = cold.unionByName(rest).repartition("bucket").sortWithinPartitions("bucket", "row", "start")
     stop = (F.col("start") + F.col("size")).alias("stop")
@@ -304,6 +329,7 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
         whole.select("row", "start", stop)
         .unionByName(some.select("row", "start", stop))
         .unionByName(also.select("row", "start", stop))
+        .unionByName(windows.select("row", "start", (F.col("start") + length).alias("stop")))
         .unionByName(sort_slices(ready, length))
     )
 

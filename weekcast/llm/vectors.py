@@ -52,8 +52,11 @@ def valid(column: str = "embedding"):
 
 def choose_pivots(classes: DataFrame) -> list[np.ndarray]:
     """Pivots from a sample in the order of a hash: ``PER_ROOT`` times the root of the number of vectors, at most ``MOST_PIVOTS``."""
-    count = min(MOST_PIVOTS, math.ceil(PER_ROOT * math.sqrt(classes.count())))
-    sample = classes.orderBy(F.xxhash64("key"), "key").limit(count).select("embedding").toArrow()["embedding"]
+    total = classes.count()
+    count = min(MOST_PIVOTS, math.ceil(PER_ROOT * math.sqrt(total)))
+    # Keys are hashes: a bound on them leaves about twice as many as needed, so that no task hands on more.
+    near = classes.where(F.col("key") < int(-(2**63) + 2**64 * (2 * count / total))) if total > 3 * count else classes
+    sample = near.orderBy("key").limit(count).select("embedding").toArrow()["embedding"]
     pivots: list[np.ndarray] = []
     for row in sample:
         x = unit(np.array(row.as_py(), np.float64))
