@@ -69,8 +69,9 @@ def test_grouped_aggregates_are_hashed(spark):
         assert "SortAggregate" not in plan_of(QUERIES[name](spark, SF_DIR)), name
     from weekcast.sources import star_schema
 
-    for make in (star_schema.sales, star_schema.promotions):
-        assert "SortAggregate" not in plan_of(make(spark, SF_DIR))
+    weekly = star_schema.weekly_lines(spark, SF_DIR)
+    for frame in (weekly, star_schema.sales(weekly), star_schema.promotions(weekly)):
+        assert "SortAggregate" not in plan_of(frame)
 
 
 def test_browsing_filters_reach_the_scan(spark, tmp_path):
@@ -83,6 +84,45 @@ def test_browsing_filters_reach_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<regionseg3:string,item:string,yearweek:string,time_series:double>" in plan
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_week_bounds_leave_out_years(spark):
+    for name in ("reforecast_ref", "reforecast_cor", "mart_before", "mart_after", "trailing_output"):
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
+        assert re.search(r"PartitionFilters: \[[^\]]", plan), name
+
+
+def test_a_panel_by_week_has_few_years_to_a_file(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from weekcast.plans import jobs
+
+    labels = [f"{year}{week:02d}" for year in range(1990, 2020) for week in range(1, 53)]
+    rows = seasonal_frame(spark, [(w, 1, 1) for w in labels])
+    sizes = ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")
+    for name in sizes:
+        spark.conf.set(f"spark.sql.adaptive.{name}", "2KB")
+    try:
+        jobs.write_by_week(rows, str(tmp_path), "panel")
+    finally:
+        for name in sizes:
+            spark.conf.unset(f"spark.sql.adaptive.{name}")
+    years = []
+    for path in tmp_path.glob("*/*.parquet"):
+        found = pq.read_table(path, columns=["yearweek"])["yearweek"].to_pylist()
+        assert found == sorted(found)
+        years.append(len({w[:4] for w in found}))
+    assert sum(years) == 30 and len(years) > 1
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_order_lines_are_read_once_and_look_ups_read_a_stage(spark):
+    from weekcast.sources import star_schema
+
+    assert plan_of(star_schema.weekly_lines(spark, SF_DIR)).count("l_orderkey") > 0
+    for name in ("qty_lookup", "dedupe_first", "sales_promo_join"):
+        assert "lineitem" not in plan_of(QUERIES[name](spark, SF_DIR)), name
+
+
 def test_recent_weeks_reach_the_scan_as_a_subquery(spark, tmp_path):
     rows = _written(spark, tmp_path, seasonal_frame(spark, [("201610", 1, 1)]))
     assert "GreaterThanOrEqual(yearweek,ScalarSubquery" in plan_of(forecasting.drop_inactive(rows))

@@ -6,8 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weekcast.config import REFERENCE, ForecastConfig
+from weekcast.functions.weeks import year_of
 from weekcast.operators.browse import final_mart
 from weekcast.operators.forecasting import forecast, reforecast
 from weekcast.operators.panel import gap_fill, join_promotions, promotion_flag
@@ -36,6 +38,12 @@ def build_panel(sales: DataFrame, promo: DataFrame) -> DataFrame:
     return promotion_flag(gap_fill(join_promotions(conform(sales, SALES), price_promotions(promo))))
 
 
+def write_by_week(rows: DataFrame, folder: str, name: str) -> DataFrame:
+    """Write a panel with few years to a file, in week order: the recent weeks lie in few files."""
+    year = year_of(F.col("yearweek"))
+    return write_stage(rows, folder, name, sort_by=["yearweek", "productgroup", "item"], cluster_by=year)
+
+
 @dataclass(frozen=True)
 class StagedMart:
     """Tables written by :func:`run_stages`, as scans."""
@@ -61,7 +69,7 @@ def run_stages(
     target = folder or shared_folder(spark)
     joined = write_stage(join_promotions(conform(sales, SALES), price_promotions(promo)), target, "joined")
     panel = write_stage(promotion_flag(gap_fill(joined)), target, "panel")
-    seasonal = write_stage(
+    seasonal = write_by_week(
         add_seasonality(panel, config.average_window, config.semantics), target, "seasonality"
     )
     mart = write_mart(final_mart(forecast(seasonal, config)), target)

@@ -95,12 +95,12 @@ class Stages:
 
     @cached_property
     def seasonal(self):
-        return self._write(seasonal.add_seasonality(self.panel), "seasonal")
+        return jobs.write_by_week(seasonal.add_seasonality(self.panel), self.folder, "seasonal")
 
     @cached_property
     def seasonal_cor(self):
         corrected = seasonal.add_seasonality(self.panel, semantics=CORRECTED)
-        return self._write(corrected, "seasonal_cor")
+        return jobs.write_by_week(corrected, self.folder, "seasonal_cor")
 
     @cached_property
     def mart(self):

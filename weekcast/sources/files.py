@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,14 +55,20 @@ def write_table(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
+    cluster_by: Column | None = None,
 ) -> None:
     """Write a parquet table.
 
     With ``partition_by``, rows are first rebalanced on those columns: adaptive
     execution merges small pieces and splits an outsized value over several
     tasks, so one hot value neither floods a task nor leaves tiny files.  ``sort_by``
-    orders the rows of each file, so that a reader can skip parts of it.
+    orders the rows of each file, so that a reader can skip parts of it.  ``cluster_by``
+    rebalances on an expression without folders: a file then holds few of its values, and the
+    minima and maxima in its footer let a filter on them pass it over.
     """
+    if cluster_by is not None:
+        dealt = df.withColumn("_cluster", cluster_by).hint("rebalance", F.col("_cluster"))
+        df = dealt.drop("_cluster").sortWithinPartitions(*(sort_by or []))
     if not partition_by:
         df.write.mode(mode).parquet(path)
         return

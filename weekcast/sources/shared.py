@@ -6,7 +6,7 @@ import hashlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from weekcast.sources.files import write_table
 
@@ -37,6 +37,7 @@ def write_stage(
     name: str,
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
+    cluster_by: Column | None = None,
 ) -> DataFrame:
     """Write a stage as a parquet table and return a scan of it.
 
@@ -45,7 +46,7 @@ def write_stage(
     Every attempt writes to a path of its own, so a failed one blocks nothing.
     """
     path = f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
-    write_table(df, path, "errorifexists", partition_by, sort_by)
+    write_table(df, path, "errorifexists", partition_by, sort_by, cluster_by)
     scan = df.sparkSession.read.schema(df.schema).parquet(path)
     return scan.select(*df.columns) if partition_by else scan
 
