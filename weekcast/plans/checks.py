@@ -165,12 +165,12 @@ SELECT {_K5}, yearweek, min(qty) AS qty FROM panel_rows WHERE productseg1 IS NUL
 """
 
 
-def _means(probes: str, values: str, semantics: str, half: str) -> str:
-    """Mean of the values found within ``half`` weeks of each probe week."""
+def _means(probes: str, values: str, shifts: str) -> str:
+    """Mean of the values found in the weeks that ``shifts`` leads to from each probe week."""
     return f"""
 SELECT {_of("p", K5)}, p.yearweek, CASE WHEN count(v.qty) = 0 THEN 0.0::DOUBLE
        ELSE sum(v.qty) / count(v.qty) END AS moving_avg
-FROM {probes} p JOIN shift_{semantics} s ON s.yw = p.yearweek AND abs(s.n) <= {half}
+FROM {probes} p JOIN {shifts} s ON s.yw = p.yearweek
 LEFT JOIN {values} v ON {_on("p", "v", K5)} AND v.yearweek = s.target
 GROUP BY ALL
 """
@@ -182,7 +182,9 @@ for _name, _semantics, _half in (
     ("means_w4", "reference", 1),
     ("means_w7", "reference", 3),
 ):
-    _PARTS[_name] = _means("panel_weekly", "panel_weekly", _semantics, str(_half))
+    _near = f"near_{_semantics}_{_half}"
+    _PARTS[_near] = f"SELECT * FROM shift_{_semantics} WHERE abs(n) <= {_half}"
+    _PARTS[_name] = _means("panel_weekly", "panel_weekly", _near)
 
 for _semantics in ("reference", "corrected"):
     _PARTS[f"seasonal_{_semantics}"] = f"""
@@ -263,10 +265,13 @@ FROM {f}_week w JOIN {f}_level t ON {_on("w", "t", keys)}, {f}_cfg
 """
 
 
-def _first_value(order: str = "") -> str:
-    """Quantity and seasonality of the first row by both."""
-    by = f"ORDER BY qty {order} NULLS LAST, seasonality {order} NULLS LAST"
-    return f"first(qty {by}) AS qty, first(seasonality {by}) AS seasonality"
+def _picked(keys: list[str], rows: str, pick: str = "min") -> str:
+    """Per key and week quantity and seasonality of the smallest (largest) row by both; neither is null here."""
+    columns = ", ".join(keys)
+    return f"""
+SELECT {columns}, yearweek, v.q AS qty, v.s AS seasonality FROM (
+  SELECT {columns}, yearweek, {pick}(struct_pack(q := qty, s := seasonality)) AS v FROM {rows} GROUP BY ALL)
+"""
 
 
 def _stage_forecast(f: str, source: str, semantics: str, hist: str) -> None:
@@ -275,10 +280,7 @@ def _stage_forecast(f: str, source: str, semantics: str, hist: str) -> None:
 SELECT 2 AS half, 5 AS horizon, 3 AS base_back, max(yearweek) AS max_week FROM {source}
 """
     _PARTS[f"{f}_hist"] = hist
-    _PARTS[f"{f}_look"] = f"""
-SELECT {_K5}, yearweek, {_first_value()}
-FROM {source} WHERE productseg1 IS NULL GROUP BY ALL
-"""
+    _PARTS[f"{f}_look"] = _picked(K5, f"{source} WHERE productseg1 IS NULL")
     _forecast_parts(f, K6, semantics)
     _PARTS[f"{f}_rows"] = f"""
 SELECT *, 0.0::DOUBLE AS fcst, 0.0::DOUBLE AS time_series FROM {f}_hist
@@ -312,9 +314,7 @@ FROM order_lines
 """
 for _semantics, _look, _seen in (("reference", K5, "WHERE productseg1 IS NULL"), ("corrected", K6, "")):
     _stage_forecast(f"lines_{_semantics}", "line_values", _semantics, "SELECT * FROM line_values")
-    _PARTS[f"lines_{_semantics}_look"] = f"""
-SELECT {", ".join(_look)}, yearweek, {_first_value()} FROM line_values {_seen} GROUP BY ALL
-"""
+    _PARTS[f"lines_{_semantics}_look"] = _picked(_look, f"line_values {_seen}")
     _forecast_parts(f"lines_{_semantics}", K6, _semantics, _look)
 
 _PARTS["mart"] = f"""
@@ -338,16 +338,13 @@ FROM valid_entries
 """
     _PARTS[f"{f}_hist"] = f"SELECT mart.* FROM mart, {f}_cfg WHERE yearweek <= max_week"
     seen = f"{f}_hist" if corrected else "mart"
-    _PARTS[f"{f}_known"] = f"""
-SELECT {_K5}, yearweek, {_first_value("DESC")} FROM {seen} GROUP BY ALL
-"""
+    _PARTS[f"{f}_known"] = _picked(K5, seen, "max")
     _PARTS[f"{f}_probes"] = f"""
 SELECT {_K5}, yearweek FROM {f}_hist
 UNION SELECT {_K5}, yw FROM {f}_series CROSS JOIN {f}_ahead
 """
-    _PARTS[f"{f}_means"] = _means(
-        f"{f}_probes", f"{f}_known", semantics, f"(SELECT half FROM {f}_cfg)"
-    )
+    _PARTS[f"{f}_near"] = f"SELECT s.* FROM shift_{semantics} s, {f}_cfg WHERE abs(n) <= half"
+    _PARTS[f"{f}_means"] = _means(f"{f}_probes", f"{f}_known", f"{f}_near")
     if corrected and recompute:
         _PARTS[f"{f}_look"] = f"""
 SELECT {_of("v", K5)}, v.yearweek, v.qty,
