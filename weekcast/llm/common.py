@@ -74,7 +74,18 @@ def sampled(named: DataFrame, most: int) -> DataFrame:
     return keyed.orderBy("order", "doc_id").limit(most)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> Iterator[tuple[str, int]]:
+class TextRows:
+    """(text, label) rows of an Arrow table, one at a time and as often as wanted."""
+
+    def __init__(self, rows: pa.Table):
+        self.rows = rows
+
+    def __iter__(self) -> Iterator[tuple[str, int]]:
+        for text, label in zip(self.rows["text"], self.rows["label"]):
+            yield text.as_py(), label.as_py()
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> TextRows:
     """At most ``most`` labelled (text, label) rows: the bound is on what a classifier is fitted on, nothing else."""
     rows = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -84,7 +95,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
         .select("text", "label")
         .toArrow()
     )
-    return ((text.as_py(), label.as_py()) for text, label in zip(rows["text"], rows["label"]))
+    return TextRows(rows)
 
 
 def text_chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -24,7 +24,7 @@ from .common import U64, SpanHash, held_out, lowered, runs, table, text_chunks,
 
 BITS = 20
 #: Bound on the labelled rows that the model is fitted on.
-TRAINING_ROWS = 10_000
+TRAINING_ROWS = 8_000
 THRESHOLD = 0.5
 
 _LETTER = np.zeros(256, bool)
@@ -60,16 +60,19 @@ def fit(rows: Iterable[tuple[str, int]], alpha=3.0, beta=1.0, l1=6.0, l2=0.1, pa
     size = 1 << BITS
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     rng = np.random.default_rng(7)
-    examples = []
-    for text, label in rows:
+
+    def places(text: str) -> np.ndarray:
         data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-        examples.append((np.unique(features(data, np.array([0, len(data)]))[1]).astype(np.int32), label))
+        return np.unique(features(data, np.array([0, len(data)]))[1])
+
+    # Two passes over the texts: only what counts is kept of them.
+    seen = np.zeros(size, np.int32)
+    for text, _ in rows:
+        seen[places(text)] += 1
+    often = seen >= least
+    examples = [(np.append(at[often[at]], size).astype(np.int32), label) for at, label in ((places(text), label) for text, label in rows)]
     if not examples:
         return Model(np.empty(0, np.int64), np.empty(0), -math.inf)
-    seen = np.zeros(size, np.int32)
-    for places, _ in examples:
-        seen[places] += 1
-    examples = [(np.append(p[seen[p] >= least], size).astype(np.int32), label) for p, label in examples]
 
     def weights(at):
         zs = z[at]
