@@ -154,15 +154,28 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        rows = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        if rows is None or not rows.num_rows:
-            return
-        # One order whatever order the shuffle delivered, so that a repeated task gives the same places.
-        rows = rows.sort_by([(n, "ascending") for n in ("doc_id", "piece", "start", "length", "ids_crc32")])
-        sequence, offset = sum_of_squares(rows["length"].to_numpy(), capacity)
-        sequence += TaskContext.get().partitionId() << 33
-        rows = rows.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
-        yield from rows.select(names).combine_chunks().to_batches()
+        first = TaskContext.get().partitionId() << 33
+        held, count = [], 0
+
+        def placed() -> Iterator[pa.RecordBatch]:
+            nonlocal first
+            # One order whatever order the shuffle delivered, so that a repeated task gives the same places.
+            rows = pa.Table.from_batches(held).sort_by([(n, "ascending") for n in PIECE_COLUMNS])
+            sequence, offset = sum_of_squares(rows["length"].to_numpy(), capacity)
+            rows = rows.append_column("sequence_id", pa.array(sequence + first)).append_column("offset", pa.array(offset))
+            first += int(sequence.max()) + 1
+            yield from rows.select(names).combine_chunks().to_batches()
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                count += batch.num_rows
+            # A group that repeated rows have swollen is packed in parts.
+            if count >= 4 * GROUP_PIECES:
+                yield from placed()
+                held, count = [], 0
+        if held:
+            yield from placed()
 
     packed = rest.repartition(groups, F.xxhash64("doc_id", "piece", "ids_crc32")).mapInArrow(run, PLACED)
     # Negative numbers: no packed group uses them.

@@ -26,4 +26,50 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-CHECKS: dict[str, str] = {}
+# SQL for DuckDB, where it can say the same; the others are tested against brute-force versions.
+
+_LINKED = """
+reach AS (SELECT id, id AS met FROM nodes UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.met),
+roots AS (SELECT id, min(met) AS component_id FROM reach GROUP BY id),
+degrees AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+"""
+_CONTROL = r"<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|<\||\|>"
+
+CHECKS: dict[str, str] = {
+    "op2_chat": f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length(text) + 2 * len(regexp_extract_all(text, '{_CONTROL}'))
+    + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 9 + length(role) END AS chars
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id""",
+    "op5_vectors": f"""
+WITH RECURSIVE nodes AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+links AS (SELECT x.id AS a, y.id AS b FROM nodes x JOIN nodes y
+  ON x.id <> y.id AND len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.9),
+{_LINKED}
+SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept
+FROM roots LEFT JOIN degrees USING (id)""",
+    "op9_jaccard": f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+nodes AS (
+  SELECT id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM texts),
+tokens AS (SELECT id, len(s) AS n, unnest(s) AS t FROM nodes),
+links AS (
+  SELECT x.id AS a, y.id AS b FROM tokens x JOIN tokens y ON x.t = y.t AND x.id <> y.id
+  GROUP BY x.id, y.id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))),
+{_LINKED}
+SELECT nodes.id AS doc_id, len(s) AS n_shingles, component_id, coalesce(n, 0) AS n_links
+FROM nodes JOIN roots ON roots.id = nodes.id LEFT JOIN degrees ON degrees.id = nodes.id""",
+}
