@@ -200,6 +200,61 @@ def test_leaks_are_found_and_clean_documents_left(spark, small):
             assert len(set(match) & set(items[i].lower().split())) > 0.4 * len(set(match))
 
 
+def edited_copies(items, docs):
+    """(doc_id, item_id, document) with edited and halved items inside the given documents, in 1, 3 and 30 copies."""
+    rng = random.Random(11)
+    out = []
+    for i, text in items.items():
+        for kind, change in (("fourth", 0.25), ("20", 0.2), ("30", 0.3), ("half", 0)):
+            words = text.split()
+            if kind == "half":
+                words = words[: -(-len(words) // 2)]
+            elif kind == "fourth":
+                words[3::4] = ["changed"] * len(words[3::4])
+            else:
+                for k in rng.sample(range(len(words)), round(change * len(words))):
+                    words[k] = "changed"
+            for _ in range((1, 3, 30)[i % 3]):
+                body = rng.choice(docs).split(" ")
+                at = rng.randrange(len(body) + 1)
+                out.append((100_000 + len(out), i, kind, " ".join(body[:at] + words + body[at:])))
+    return out
+
+
+def test_edited_copies_are_found_however_many_there_are(spark, small):
+    items = {r.item_id: r.text for r in small("benchmark").collect()}
+    copies = edited_copies(items, [r.text[:2000] for r in small("documents").collect() if r.text])
+    frame = spark.createDataFrame([(d, t) for d, _, _, t in copies], "doc_id long, text string").unionByName(small("documents").select("doc_id", "text"))
+    found = {(r.doc_id, r.item_id) for r in decontamination.find_leaks(frame, small("benchmark")).collect()}
+    share = {kind: np.mean([(d, i) in found for d, i, k, _ in copies if k == kind]) for kind in ("fourth", "20", "30", "half")}
+    assert share["fourth"] == share["half"] == 1.0 and share["20"] >= 0.99 and share["30"] >= 0.9, share
+
+
+def test_leaks_are_the_same_in_parts_of_items(monkeypatch):
+    rng = np.random.default_rng(3)
+    items = decontamination.Items.of([(i, " ".join(rng.choice(["a", "b", "c", "d"], 12))) for i in range(30)])
+    data = np.frombuffer("".join(f"{x} " for x in rng.choice(["a", "b", "c", "d"], 900)).encode(), np.uint8)
+    _, _, owner, word = decontamination.word_hashes(data, np.array([0, 400, 500, 1800]))
+    place, found = decontamination.grams(owner, word)
+    hit, at = decontamination.Lookup(items.seeds).find(found)
+
+    def windows():
+        return sorted(tuple(w) for part in decontamination.candidate_windows(owner, place[hit], items, at) for w in part.tolist())
+
+    whole = windows()
+    monkeypatch.setattr(decontamination, "PLACES", 100)
+    assert windows() == whole and {w[0] for w in whole} == {0, 1, 2}
+
+
+def test_windows_left_out_reach_no_threshold():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        item = rng.integers(1, 9, 10).astype(np.uint64)
+        windows = rng.integers(1, 30, (20, 25)).astype(np.uint64)
+        near = decontamination.can_reach(item, windows, 0.4)
+        assert (decontamination.align(item, windows[~near])[0] / 20 < 0.4).all()
+
+
 def test_leaks_of_odd_rows(spark, odd, nothing):
     benchmark = spark.createDataFrame([(1, None), (2, ""), (3, "word word"), (None, "one two three four five six seven eight nine")], "item_id long, text string")
     assert decontamination.find_leaks(odd, benchmark).count() == 0

@@ -1,9 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs of letters and digits, lower case.  Every n-gram of a test item is a possible seed; how many
-documents hold it is counted over the whole corpus.  An item keeps its rarest half, and all others that are rare.
-A document with a seed is aligned locally with the item around the seed, so that changed, added and dropped words
-cost little; the score is the share of the item's best possible score.
+Words are runs of letters and digits, lower case.  Every n-gram of a test item is a seed, however many documents
+hold it.  A document with a seed is aligned locally with the item around the seed, so that changed, added and dropped
+words cost little; the score is the share of the item's best possible score.  A window that holds too few of the
+item's words to reach the threshold is not aligned.
 
 Items come in blocks of about ``BLOCK_BYTES`` of text, one pass over the corpus each: what goes to the executors is bounded
 however large the benchmark.
@@ -30,17 +30,16 @@ SEED_WORDS = 3
 MIN_WORDS = 8
 #: Share of an item's best possible score from which a document counts as contaminated.
 THRESHOLD = 0.4
-#: A seed in at most this share of the documents is rare whatever else its item holds.
-RARE_SHARE = 1e-4
 MATCH, OTHER, GAP = 2, -1, -1
 BLOCK_BYTES = 2 << 20
 #: Cells of one batch of alignments.
 CELLS = 1 << 21
+#: Places of seeds that are looked at together.
+PLACES = 1 << 20
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
-COUNTS = "seed long, docs long"
 HITS = "doc_id long, item_id long, score double, start long, stop long"
 
 
@@ -112,17 +111,6 @@ class Items:
         seeds, first = np.unique(seed, return_index=True)
         return seeds, np.append(first, len(seed)), item, at
 
-    def rarest(self, docs: np.ndarray, rare: float) -> Items:
-        """With only the seeds that count: rare ones and, of each item, the rarest half."""
-        seed = np.repeat(np.arange(len(self.seeds)), np.diff(self.first))
-        order = np.lexsort((self.at, docs[seed], self.item))
-        begins = np.searchsorted(self.item[order], np.arange(len(self.ids)))
-        sizes = np.bincount(self.item, minlength=len(self.ids))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order)) - begins[self.item[order]]
-        kept = (docs[seed] <= rare) | (rank < (sizes[self.item] + 1) // 2)
-        return Items(self.ids, self.words, *Items.index(self.seeds[seed[kept]], self.item[kept], self.at[kept]))
-
 
 def align(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best local score of ``item`` in each row of ``windows`` and the column after its end; 0 in a window fits no word."""
@@ -143,14 +131,47 @@ def align(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return best, stop
 
 
-def candidate_windows(owner, place, items: Items, at) -> np.ndarray:
-    """Distinct (text number, item, first word, end) around seeds, seeds on near diagonals together."""
+def can_reach(item: np.ndarray, windows: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether a row of ``windows`` holds words of ``item`` enough for a score of ``threshold``: each match takes one."""
+    known = np.unique(item)
+    held = known[np.minimum(np.searchsorted(known, windows), len(known) - 1)] == windows
+    return held.sum(axis=1) / len(item) >= threshold
+
+
+def candidate_windows(owner, place, items: Items, at) -> Iterator[np.ndarray]:
+    """Distinct (text number, item, first word, end) around seeds, seeds on near diagonals together.
+
+    They come in parts of whole texts with about ``PLACES`` places; a text with more is cut into ranges of items.
+    """
     counts = items.first[at + 1] - items.first[at]
+    text = owner[place]
+    begins = np.flatnonzero(np.diff(text, prepend=-1))
+    ends, sums = np.append(begins[1:], len(at)), np.append(0, np.cumsum(counts))
+    k = 0
+    while k < len(begins):
+        low = begins[k]
+        last = max(k, int(np.searchsorted(sums[ends], sums[low] + PLACES, "right")) - 1)
+        high, k = ends[last], last + 1
+        pieces = min(len(items.ids), int(-(-(sums[high] - sums[low]) // PLACES)))
+        bounds = np.linspace(0, len(items.ids), pieces + 1).astype(np.int64)
+        for first, stop in zip(bounds[:-1], bounds[1:]):
+            yield windows_of_items(owner, place[low:high], items, at[low:high], first, stop)
+
+
+def windows_of_items(owner, place, items: Items, at, first: int, stop: int) -> np.ndarray:
+    """``candidate_windows`` with the items from ``first`` to before ``stop``."""
+    begins, ends = items.first[at], items.first[at + 1]
+    if stop - first < len(items.ids):
+        # The places of a seed are in the order of the items.
+        seed = np.repeat(np.arange(len(items.seeds)), np.diff(items.first))
+        keys = seed * len(items.ids) + items.item
+        begins, ends = (np.searchsorted(keys, at * len(items.ids) + x) for x in (first, stop))
+    counts = ends - begins
     total = int(counts.sum())
     if not total:
         return np.empty((0, 4), np.int64)
     which = np.repeat(np.arange(len(at)), counts)
-    entry = np.repeat(items.first[at], counts) + np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
+    entry = np.repeat(begins, counts) + np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
     item, text = items.item[entry], owner[place[which]]
     diagonal = place[which] - items.at[entry]
     order = np.lexsort((diagonal, item, text))
@@ -175,37 +196,39 @@ def search(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
                 starts, ends, owner, word = word_hashes(data, offsets)
                 place, found = grams(owner, word)
                 hit, at = lookup.find(found)
-                windows = candidate_windows(owner, place[hit], items, at)
                 bounds = np.searchsorted(owner, np.arange(high - low + 1))
                 best: dict[tuple[int, int], tuple[float, int, int]] = {}
-                windows = windows[np.lexsort((windows[:, 3] - windows[:, 2], windows[:, 1]))]
-                k = 0
-                while k < len(windows):
-                    number = windows[k, 1]
-                    width, n = 0, 0
-                    while k + n < len(windows) and windows[k + n, 1] == number:
-                        wider = max(width, int(windows[k + n, 3] - windows[k + n, 2]))
-                        if n and wider * (n + 1) > CELLS:
-                            break
-                        width, n = wider, n + 1
-                    part = windows[k : k + n]
-                    k += n
-                    first = np.maximum(part[:, 2], bounds[part[:, 0]])
-                    last = np.minimum(part[:, 3], bounds[part[:, 0] + 1])
-                    width = int((last - first).max())
-                    columns = first[:, None] + np.arange(width)
-                    matrix = np.where(columns < last[:, None], word[np.minimum(columns, len(word) - 1)], U64(0))
-                    target = items.words[number]
-                    score, stop = align(target, matrix)
-                    share = score / (MATCH * len(target))
-                    for i in np.flatnonzero(share >= threshold).tolist():
-                        key = (int(part[i, 0]), int(number))
-                        if key not in best or share[i] > best[key][0]:
-                            end = int(first[i] + stop[i])
-                            begin = int(first[i])
-                            # Aligned backwards from the end, the best score ends where the match starts.
-                            begin = end - int(align(target[::-1], word[begin:end][::-1][None, :])[1][0])
-                            best[key] = (float(share[i]), begin, end)
+                for windows in candidate_windows(owner, place[hit], items, at):
+                    windows = windows[np.lexsort((windows[:, 3] - windows[:, 2], windows[:, 1]))]
+                    k = 0
+                    while k < len(windows):
+                        number = windows[k, 1]
+                        width, n = 0, 0
+                        while k + n < len(windows) and windows[k + n, 1] == number:
+                            wider = max(width, int(windows[k + n, 3] - windows[k + n, 2]))
+                            if n and wider * (n + 1) > CELLS:
+                                break
+                            width, n = wider, n + 1
+                        part = windows[k : k + n]
+                        k += n
+                        first = np.maximum(part[:, 2], bounds[part[:, 0]])
+                        last = np.minimum(part[:, 3], bounds[part[:, 0] + 1])
+                        width = int((last - first).max())
+                        columns = first[:, None] + np.arange(width)
+                        matrix = np.where(columns < last[:, None], word[np.minimum(columns, len(word) - 1)], U64(0))
+                        target = items.words[number]
+                        near = can_reach(target, matrix, threshold)
+                        part, first, matrix = part[near], first[near], matrix[near]
+                        score, stop = align(target, matrix)
+                        share = score / (MATCH * len(target))
+                        for i in np.flatnonzero(share >= threshold).tolist():
+                            key = (int(part[i, 0]), int(number))
+                            if key not in best or share[i] > best[key][0]:
+                                end = int(first[i] + stop[i])
+                                begin = int(first[i])
+                                # Aligned backwards from the end, the best score ends where the match starts.
+                                begin = end - int(align(target[::-1], word[begin:end][::-1][None, :])[1][0])
+                                best[key] = (float(share[i]), begin, end)
                 for (text, number), (share, begin, end) in best.items():
                     base, body = int(offsets[text]), data[offsets[text] : offsets[text + 1]].tobytes()
                     left, right = int(starts[begin]) - base, int(ends[end - 1]) - base
@@ -216,40 +239,17 @@ def search(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
     return docs.mapInArrow(run, HITS)
 
 
-def seed_counts(docs: DataFrame, items: Items) -> np.ndarray:
-    """For every seed the number of documents that hold it; at most one row per seed reaches the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, total = Lookup(items.seeds), np.zeros(len(items.seeds), np.int64)
-        for batch in batches:
-            for _, _, data, offsets in text_chunks(batch):
-                _, _, owner, word = word_hashes(data, offsets)
-                place, found = grams(owner, word)
-                hit, at = lookup.find(found)
-                pairs = np.unique(owner[place[hit]] * len(items.seeds) + at)
-                total += np.bincount(pairs % len(items.seeds), minlength=len(items.seeds))
-        some = np.flatnonzero(total)
-        yield as_arrow(COUNTS, {"seed": some, "docs": total[some]})
-
-    counted = docs.mapInArrow(run, COUNTS).groupBy("seed").agg(F.sum("docs").alias("docs")).toArrow()
-    out = np.zeros(len(items.seeds), np.int64)
-    out[counted["seed"].to_numpy()] = counted["docs"].to_numpy()
-    return out
-
-
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per contaminated document and item: ``doc_id, item_id, score, start, stop`` (code points of the match)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     benchmark = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    size, total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0, docs.count()
+    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     found = []
     for k in range(blocks):
         rows = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).toArrow().to_pylist()
         rows.sort(key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
         items = Items.of([(r["item_id"], r["text"]) for r in rows])
-        if items.ids:
-            items = items.rarest(seed_counts(docs, items), RARE_SHARE * total)
         found.append(search(docs, items, threshold))
         if blocks > 1:
             found[-1] = written(found[-1], "leaks")
