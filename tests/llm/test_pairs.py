@@ -264,6 +264,26 @@ def test_leaks_of_odd_rows(spark, odd, nothing):
     assert [tuple(r)[:3] for r in decontamination.find_leaks(hit, benchmark).collect()] == [(1, None, 1.0)]
 
 
+def test_short_items_match_word_for_word(spark):
+    benchmark = spark.createDataFrame([(1, "Who wrote Faust?"), (2, "one two three four five six seven"), (3, "Faust wrote")], "item_id long, text string")
+    docs = [(1, "quiz: who wrote FAUST, then"), (2, "who wrote the Faust"), (3, "one two three four five six seven"), (4, "one two three four five six eight seven"), (5, "who wrote faust")]
+    found = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id, r.score, r.start, r.stop) for r in found) == [(1, 1, 1.0, 6, 21), (3, 2, 1.0, 0, 33), (5, 1, 1.0, 0, 15)]
+
+
+def test_scripts_without_blanks(spark):
+    items = [(1, "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少"), (2, "いろはにほへとちりぬるをわかよたれそつねならむ"), (3, "ประเทศไทยมีกรุงเทพมหานครเป็นเมืองหลวง"), (4, "\U00020000\U00020001\U00020002\U00020003")]
+    edited = items[0][1][:8] + "好" + items[0][1][9:]
+    docs = [(i, f"前文 text {t} 。end") for i, t in items] + [(5, f"abc{edited}"), (6, "春天来了花开了鸟儿在树上唱歌夜里下了一场雨")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontamination.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 1)]
+    texts = dict(docs)
+    for r in found:
+        assert texts[r.doc_id][r.start : r.stop] == (edited if r.doc_id == 5 else dict(items)[r.item_id])
+        assert (r.score == 1.0) == (r.doc_id != 5)
+
+
 def test_blocks_of_items_find_the_same(spark, small, monkeypatch):
     whole = decontamination.find_leaks(small("documents"), small("benchmark")).select("doc_id", "item_id", "start", "stop").collect()
     monkeypatch.setattr(decontamination, "BLOCK_BYTES", 3000)

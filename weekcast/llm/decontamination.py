@@ -1,6 +1,6 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs of letters and digits, lower case.  Every n-gram of a test item is a seed, however many documents
+Words are runs of letters and digits, lower case, and single characters of scripts that set no blanks.  Every n-gram of a test item is a seed, however many documents
 hold it.  A document with a seed is aligned locally with the item around the seed, so that changed, added and dropped
 words cost little; the score is the share of the item's best possible score.  A window that holds too few of the
 item's words to reach the threshold is not aligned.
@@ -8,8 +8,8 @@ item's words to reach the threshold is not aligned.
 Items come in blocks of about ``BLOCK_BYTES`` of text, one pass over the corpus each: what goes to the executors is bounded
 however large the benchmark.
 
-Defined results: null and empty texts match nothing; items of fewer than ``MIN_WORDS`` words are too common to tell a
-leak and match nothing; repeated rows match once each; rows with a null id keep it; equal items match alike; an empty table gives no
+Defined results: null and empty texts match nothing; items of fewer than ``MIN_WORDS`` words match word for word only,
+those of fewer than ``SEED_WORDS`` are too common to tell a leak and match nothing; repeated rows match once each; rows with a null id keep it; equal items match alike; an empty table gives no
 rows; other columns are ignored.
 """
 
@@ -40,12 +40,36 @@ PLACES = 1 << 20
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
+#: Ranges of the first three UTF-8 bytes of letters of scripts without blanks.
+_BLANKLESS = (
+    (0xE0B880, 0xE0BFBF),  # Thai, Lao, Tibetan
+    (0xE18080, 0xE1829F),  # Burmese
+    (0xE19E80, 0xE19FBF),  # Khmer
+    (0xE38180, 0xE383BF),  # Hiragana, Katakana
+    (0xE387B0, 0xE387BF),
+    (0xE39080, 0xE4B6BF),  # Han
+    (0xE4B880, 0xE9BFBF),
+    (0xEFA480, 0xEFABBF),
+    (0xEFBDA6, 0xEFBE9D),  # half-width Katakana
+    (0xF0A080, 0xF0BFBF),  # Han beyond 16 bits
+)
+_HEAD = np.zeros(256, bool)
+_HEAD[[0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0]] = True
+
 HITS = "doc_id long, item_id long, score double, start long, stop long"
 
 
+def blankless(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of every character of a script without blanks."""
+    at = np.flatnonzero(_HEAD[data[:-2]])
+    code = data[at].astype(np.int64) << 16 | data[at + 1].astype(np.int64) << 8 | data[at + 2]
+    at = at[np.any([(code >= low) & (code <= high) for low, high in _BLANKLESS], axis=0)]
+    return at, at + np.where(data[at] == 0xF0, 4, 3)
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray):
     """(first byte, end, text number, hash) of every word."""
-    starts, ends = runs(_WORD[data], offsets)
+    starts, ends = runs(_WORD[data], np.concatenate([offsets, *blankless(data)]))
     owner = np.searchsorted(offsets, starts, "right") - 1
     return starts, ends, owner, SpanHash(lowered(data)).spans(starts, ends)
 
@@ -93,9 +117,12 @@ class Items:
         for item_id, text in rows:
             data = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
             _, _, owner, word = word_hashes(data, np.array([0, len(data)]))
-            if len(word) < MIN_WORDS:
+            if len(word) < SEED_WORDS:
                 continue
             place, found = grams(owner, word)
+            if len(word) < MIN_WORDS:
+                # Only the whole sequence counts, and that has its first seed.
+                place, found = place[:1], found[:1]
             seeds.append(found)
             item.append(np.full(len(found), len(ids)))
             at.append(place)
@@ -217,11 +244,12 @@ def search(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
                         columns = first[:, None] + np.arange(width)
                         matrix = np.where(columns < last[:, None], word[np.minimum(columns, len(word) - 1)], U64(0))
                         target = items.words[number]
-                        near = can_reach(target, matrix, threshold)
+                        least = threshold if len(target) >= MIN_WORDS else 1.0
+                        near = can_reach(target, matrix, least)
                         part, first, matrix = part[near], first[near], matrix[near]
                         score, stop = align(target, matrix)
                         share = score / (MATCH * len(target))
-                        for i in np.flatnonzero(share >= threshold).tolist():
+                        for i in np.flatnonzero(share >= least).tolist():
                             key = (int(part[i, 0]), int(number))
                             if key not in best or share[i] > best[key][0]:
                                 end = int(first[i] + stop[i])
