@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from weekcast.llm import language, quality, toxicity
+from weekcast.llm import common, language, quality, toxicity
 from weekcast.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -88,6 +88,25 @@ def test_scores_of_odd_rows(spark, odd, nothing, small):
     assert language.predict(nothing, None).count() == 0 and language.trained(nothing) is None
 
 
+def test_an_id_with_many_rows_is_learned_from_once(spark, monkeypatch):
+    keys = common.sampled(spark.range(1, 60).withColumnRenamed("id", "doc_id"), 60).where(~common.held_out(5, 0) & ~common.held_out(4, 2))
+    ids = [r.doc_id for r in keys.orderBy("order").collect()]
+    rows = [(i, f"text of {i}", "en") for i in ids] + [(ids[0], f"again {k}", "fr") for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in ids], "doc_id long, quality int, toxic int")
+    texts = [t for t, _ in common.training_rows(docs, labels, "toxic", 20)]
+    assert len(texts) == 20 and texts[1:] == [f"text of {i}" for i in ids[1:20]]
+    seen = {}
+    for module in (quality, language):
+        monkeypatch.setattr(module, "TRAINING_ROWS", 20)
+        monkeypatch.setattr(module, "fit", lambda *x, name=module.__name__: seen.setdefault(name, x))
+    quality.trained(docs, labels)
+    language.trained(docs)
+    values, truth = seen[quality.__name__]
+    assert truth.tolist() == [i % 2 for i in ids[:20]] and all(len(v) == 20 for v in values.values())
+    assert seen[language.__name__][0]["text"].to_pylist()[1:] == [f"text of {i}" for i in ids[1:20]]
+
+
 def test_language_on_held_out_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     lang = {r.doc_id: r.lang for r in docs.collect() if r.lang}

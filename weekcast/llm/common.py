@@ -85,17 +85,20 @@ class TextRows:
             yield text.as_py(), label.as_py()
 
 
+def one_per_id(rows: DataFrame, keys: list[str], values: list[str], most: int) -> DataFrame:
+    """``keys`` and ``values`` of one row for each of the first ``most`` ids: of several rows of an id the one with the smallest hash.
+
+    ``keys`` begin with ``order, doc_id`` and are the same in all rows of an id.  The bound then counts different documents.
+    """
+    one = rows.groupBy(*keys).agg(F.min(F.struct(F.xxhash64(*values).alias("_hash"), *values)).alias("_one"))
+    return one.orderBy("order", "doc_id").limit(most).select(*keys, "_one.*")
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> TextRows:
-    """At most ``most`` labelled (text, label) rows: the bound is on what a classifier is fitted on, nothing else."""
-    rows = (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .join(F.broadcast(sampled(labelled(labels, label), most)), "doc_id")
-        .orderBy("order", "doc_id", "text")
-        .limit(most)
-        .select("text", "label")
-        .toArrow()
-    )
-    return TextRows(rows)
+    """At most ``most`` labelled (text, label) rows, one per id: the bound is on what a classifier is fitted on, nothing else."""
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts.join(F.broadcast(sampled(labelled(labels, label), most)), "doc_id")
+    return TextRows(one_per_id(rows, ["order", "doc_id", "label"], ["text"], most).select("text", "label").toArrow())
 
 
 def text_chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, lowered, sampled, table, text_chunks
+from .common import held_out, lowered, one_per_id, sampled, table, text_chunks
 
 BITS = 15
 SIZES = (2, 3, 4)
@@ -154,8 +154,8 @@ def trained(docs: DataFrame) -> Model | None:
     """A model from at most ``TRAINING_ROWS`` rows with a language outside the held-out fold, by the hash of the id."""
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(4, 2))
     picked = sampled(usable.select("doc_id").distinct(), TRAINING_ROWS)
-    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(picked), "doc_id").orderBy("order", "lang", "text").limit(TRAINING_ROWS)
-    rows = rows.select("text", "lang").toArrow()
+    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(picked), "doc_id")
+    rows = one_per_id(rows, ["order", "doc_id"], ["lang", "text"], TRAINING_ROWS).select("text", "lang").toArrow()
     return fit(rows)
 
 
