@@ -121,6 +121,19 @@ def test_near_duplicates_of_odd_rows(spark, odd, nothing):
     assert jaccard.drop_near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_without_an_id(spark):
+    word = lambda k: " ".join(f"w{k}n{j}" for j in range(60))
+    rows = [(None, word(1)), (None, word(1)), (None, word(1) + " more"), (None, word(2)), (7, word(2) + " more"), (None, word(3)), (8, word(4)), (None, ""), (None, None), (None, "")]
+    rows += [(None, word(5))] * 40 + [(None, f"{word(5)} x{j}") for j in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    left = jaccard.drop_near_duplicates(docs).collect()
+    full = [(r.doc_id, r.text.split("n")[0]) for r in left if r.text]
+    assert sorted(full, key=lambda x: x[1]) == [(None, "w1"), (7, "w2"), (None, "w3"), (8, "w4"), (None, "w5")]
+    assert len(left) == 5 + 3
+    plain = jaccard.jaccard_components(docs).collect()
+    assert len(plain) == len(rows) and all(r.kept and r.n_links == 0 and r.component_id is None for r in plain if r.doc_id is None)
+
+
 def plain_vectors(rows, least):
     ok = [v is not None and len(v) and None not in v and np.isfinite(v).all() and any(v) and i is not None for i, v in rows]
     pairs = []

@@ -14,7 +14,8 @@
    blocks of ``BLOCK`` classes; only sums and a spanning forest of the links leave a task.
 4. Components of the links.
 
-Defined results: rows with a null id link with nothing and have a null component; a null or empty text has
+Defined results: rows with a null id link with nothing and have a null component, but ``drop_near_duplicates``
+links them as any others; a null or empty text has
 an empty set and links with nothing; repeated rows and rows sharing an id are returned once each; an empty table gives no
 rows; other columns are ignored.
 """
@@ -75,8 +76,8 @@ def set_key(values: np.ndarray) -> int:
     return int(mix(parts * np.array([1, 3, 5], np.uint64)).sum(dtype=np.uint64).astype(np.int64))
 
 
-def sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Size, class and prefix tokens of each document's set; tokens once per class and task."""
+def sets(docs: DataFrame, k: int, percent: int, no_ids: bool) -> DataFrame:
+    """Size, class and prefix tokens of each document's set; tokens once per class and task, without an id only with ``no_ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -93,7 +94,7 @@ def sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 for s in scales:
                     tokens = None
                     # Without a miss allowed and below the size from which one is, only equal sets link.
-                    if ids[row] is not None and (key, s) not in met and n * (100 - percent) >= percent:
+                    if (no_ids or ids[row] is not None) and (key, s) not in met and n * (100 - percent) >= percent:
                         met.add((key, s))
                         salted = mix(values ^ U64(0xD1B54A32D192ED03 * (s + 1) % (1 << 64)))
                         chosen = salted[salted < share_bound(s, percent)]
@@ -241,14 +242,16 @@ def cell_links(cells: DataFrame, percent: int) -> DataFrame:
 
 
 def member_sets(members: DataFrame, k: int) -> DataFrame:
-    """The whole token sets of class representatives, from their texts."""
+    """The whole token sets of class representatives, from their texts; once per task where the row is repeated."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in MEMBER.split(", ")][:-1]
+        met: set[tuple[int, int]] = set()
         for batch in batches:
-            keys, rows, tokens = batch.column("key").to_pylist(), [], []
+            families, keys, rows, tokens = batch.column("family").to_pylist(), batch.column("key").to_pylist(), [], []
             for row, values in document_sets(batch, k):
-                if len(values) and set_key(values) == keys[row]:
+                if len(values) and (families[row], keys[row]) not in met and set_key(values) == keys[row]:
+                    met.add((families[row], keys[row]))
                     rows.append(row)
                     tokens.append(values.tobytes())
             part = batch.take(pa.array(rows, pa.int64()))
@@ -262,24 +265,27 @@ def with_rows(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, no_ids: bool = False) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, n_links`` and ``_row, kept``.
 
     Sets of ``k``-word shingles link when their Jaccard similarity is at least ``percent`` hundredths.
     ``n_links`` counts the other documents that a document links with directly, equal sets included.
     ``kept`` marks one document of each component, one with the smallest id, and all that link with nothing.
+    With ``no_ids`` rows without an id link as well; they are kept only where no row with one links.
     """
     docs = with_rows(docs).select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = written(sets(docs, k, percent), "sets")
+    found = written(sets(docs, k, percent, no_ids), "sets")
     every = found.where("main").select("row", "doc_id", "n", "key")
-    classes = every.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key", "n").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("copies"))
-    classes = written(classes.select("key", "n", "first", "first.doc_id", "copies"), "classes")
+    alone = F.col("doc_id").isNull() & ~F.lit(no_ids)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+    classes = every.where(F.col("key").isNotNull() & ~alone).groupBy("key", "n").agg(first, F.count("*").alias("copies"))
+    classes = written(classes.select("key", "n", "first", "first.row", "copies"), "classes")
     family = written(families(found, percent), "families")
     sizes = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = joined_split(family, sizes, "family").join(classes.drop("first"), "key")
     members = members.withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
-    # A class's representative is one document, but an id may come with several texts.
-    whole = member_sets(docs.select("doc_id", "text").join(members, "doc_id"), k)
+    # A class's representative is one id and text, but these may come in several rows.
+    whole = member_sets(joined_split(docs.select("row", "text"), members, "row"), k)
     cells = whole.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "n", "copies", "tokens"
     )
@@ -287,12 +293,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     links = written(cell_links(cells, percent), "links")
     roots = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("key").agg(F.sum("links").alias("links"))
-    placed = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").join(counts, "key", "left")
+    placed = classes.drop("row").join(roots.withColumnRenamed("node", "key"), "key", "left").join(counts, "key", "left")
     placed = written(placed.select("key", "first", "copies", F.coalesce("root", "key").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "placed")
     smallest = placed.groupBy("root").agg(F.min("first").alias("first"))
     placed = joined_split(placed.drop("first"), smallest, "root").select("key", "first", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     out = joined_split(every, placed, "key", "left")
-    alone = F.col("doc_id").isNull()
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -304,9 +309,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without near duplicates: of each component one row stays; empty texts and null ids stay all."""
-    found = jaccard_components(docs, k, percent).where("kept")
-    lone = F.col("n_shingles").eqNullSafe(0) | F.col("doc_id").isNull()
+    """``docs`` without near duplicates: of each component one row stays, also among null ids; empty texts stay all."""
+    found = jaccard_components(docs, k, percent, no_ids=True).where("kept")
+    lone = F.col("n_shingles").eqNullSafe(0)
     kept = written(found.groupBy("_row").agg((F.count("*") > 1).alias("_several"), F.first(lone).alias("_lone")), "kept")
     several = F.col("_several") & ~F.col("_lone")
     rows = joined_split(with_rows(docs), kept, "_row")
