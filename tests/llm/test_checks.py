@@ -17,4 +17,4 @@ def test_query_matches_its_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 14)]

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from .chat import op2_chat
 from .decontamination import op4_decontaminate
+from .fingerprints import op13_fingerprints
 from .jaccard import op9_jaccard
 from .language import op8_language
 from .packing import op6_pack
+from .periodic import op11_runs
 from .quality import op1_quality
 from .secrets import op7_secrets
 from .suffix import op3_repeats
 from .toxicity import op10_toxicity
+from .variants import op12_variants
 from .vectors import op5_vectors
 
 QUERIES = {
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
+    "op11_runs": op11_runs,
+    "op12_variants": op12_variants,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 # SQL for DuckDB, where it can say the same; the others are tested against brute-force versions.
