@@ -160,6 +160,7 @@ def made_up_words(seed, n):
 def test_variants_against_all_pairs(spark, monkeypatch, tree):
     monkeypatch.setattr(variants, "TREE", tree)
     monkeypatch.setattr(variants, "SEARCHED", 50)
+    monkeypatch.setattr(variants, "ASKING", 2 * tree)
     words = made_up_words(tree, 400)
     frame = spark.createDataFrame(list(words.items()), "word string, n long")
     if tree == 20:

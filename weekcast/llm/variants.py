@@ -4,8 +4,10 @@
    their frequency; a word's frequency vector holds how many of its letters are in each group.
 2. Words one inserted, deleted or replaced letter apart have vectors that differ by at most one count too many and one too few.
    The vectors form a trie, one level for each group.  Its upper levels are dealt over tasks: a subtree is the words whose
-   first counts are the same, and a word is looked for in all subtrees that its budget of one surplus and one deficit reaches.
-   The depth of the cut follows from the sizes of all subtrees; larger ones are searched in parts of ``TREE`` words.
+   first counts are the same, and a word is looked for in all subtrees that its budget of one surplus and one deficit reaches,
+   of two subtrees in the later one only: a pair found there counts for both words.
+   The depth of the cut follows from the sizes of all subtrees; larger ones are searched in parts of ``TREE`` words, and
+   each part by ``ASKING`` words at a time, in tasks of their own.
 3. In a task a depth-first search, for many words at once, spends what is left of the budget level by level.
 4. At the leaves common beginnings and endings tell whether a word is really one letter away.
 5. A word's form is its most frequent near word, if that is frequent enough; forms are followed to the last by
@@ -34,8 +36,9 @@ from .graph import joined_split
 GROUPS = 12
 #: Letters that are dealt by frequency; the letters of the words here are 90 at most, rarer ones go by their number.
 LETTERS = 512
-#: Words of a subtree that a task holds at once, and words looked for at once.
+#: Words of a subtree that a task holds at once, words that one group looks for in them, and words looked for at once.
 TREE = 16_384
+ASKING = 32_768
 SEARCHED = 4096
 #: The trie is cut at two levels at least.
 LEAST_DEPTH = 2
@@ -45,6 +48,8 @@ WIDTH = 32
 _RUN = re.compile("[a-zÀ-ÿ]+")
 COUNTS = "word string, n long"
 NEAR = "word string, n_near long, best_n long, best string"
+#: What a row of a subtree is: a word of its own, or one to look for from there or from another subtree.
+OWN, INSIDE, OUTSIDE = 0, 1, 2
 
 
 def word_counts(docs: DataFrame, least_length: int = 5, slip: int = 0) -> DataFrame:
@@ -200,7 +205,7 @@ def _node(counts: list[int]) -> str:
 
 
 def reached(counts: list[int]) -> list[str]:
-    """The subtrees that a search with these first counts can enter, itself included; some may not exist."""
+    """The subtrees that a search with these first counts can enter, its own first; some may not exist."""
     out = [_node(counts)]
     for g in range(len(counts)):
         for change in (1, -1):
@@ -218,6 +223,12 @@ def reached(counts: list[int]) -> list[str]:
     return out
 
 
+def entered(counts: list[int]) -> list[str]:
+    """Of the subtrees reached, the own one and those behind it in the order of their names."""
+    own, *others = reached(counts)
+    return [own, *(x for x in others if x > own)]
+
+
 def subtree_depth(words: DataFrame, groups: LetterGroups) -> int:
     """At how many levels to cut: the fewest at which a word's subtree has at most ``TREE`` words on average."""
 
@@ -234,73 +245,102 @@ def subtree_depth(words: DataFrame, groups: LetterGroups) -> int:
     return min((r.depth for r in rows if r.mean <= TREE), default=groups.groups)
 
 
-def placed(words: DataFrame, groups: LetterGroups, depth: int, reach: bool) -> DataFrame:
-    """(node, word, n): each word in its own subtree, or with ``reach`` in all that a search for it can enter."""
-    schema = "node string, word string, n long"
+def placed(words: DataFrame, groups: LetterGroups, depth: int, kinds: tuple[int, ...]) -> DataFrame:
+    """(node, kind, word, n): each word in its own subtree, and as one to look for in all that it enters."""
+    schema = "node string, kind int, word string, n long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, counts = batch.column("word").to_pylist(), batch.column("n").to_pylist()
-            vectors = groups.vectors(names)[:, :depth].tolist()
-            nodes = [reached(v) if reach else [_node(v)] for v in vectors]
-            out = [(node, w, n) for w, n, some in zip(names, counts, nodes) for node in some]
-            yield as_arrow(schema, dict(zip(("node", "word", "n"), zip(*out) if out else [[]] * 3)))
+            out = []
+            for word, n, vector in zip(names, counts, groups.vectors(names)[:, :depth].tolist()):
+                if OWN in kinds:
+                    out.append((_node(vector), OWN, word, n))
+                if INSIDE in kinds:
+                    out += [(node, OUTSIDE if k else INSIDE, word, n) for k, node in enumerate(entered(vector))]
+            yield as_arrow(schema, dict(zip(("node", "kind", "word", "n"), zip(*out) if out else [[]] * 4)))
 
     return words.select("word", "n").mapInArrow(run, schema)
 
 
+def shares(own: DataFrame) -> DataFrame:
+    """(node, parts, slices): into how many parts the words of a subtree are dealt, and those that look for near ones there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(x, n) for node, n in zip(batch.column("node").to_pylist(), batch.column("n").to_pylist()) for x in entered(list(map(int, node.split(","))))]
+            yield as_arrow("node string, asking long", dict(zip(("node", "asking"), zip(*out) if out else [[]] * 2)))
+
+    sizes = written(own.groupBy("node").agg(F.count("*").alias("n")), "sizes")
+    asking = sizes.mapInArrow(run, "node string, asking long").groupBy("node").agg(F.sum("asking").alias("asking"))
+    parts, slices = (F.ceil(F.col(c) / most).cast("int").alias(x) for c, most, x in (("n", TREE, "parts"), ("asking", ASKING, "slices")))
+    return joined_split(sizes, asking, "node").select("node", parts, slices)
+
+
 class Subtree:
     """The words of one subtree, or of one part of it, and the search in them."""
 
     def __init__(self, words: list[str], counts: list[int], groups: LetterGroups):
-        # In code-point order, so that the first of several words is the smallest.
-        order = sorted(range(len(words)), key=words.__getitem__)
-        self.letters = Letters([words[k] for k in order])
-        self.counts = np.array([counts[k] for k in order], np.int64)
+        self.letters, self.counts = _in_order(words, counts)
         self.groups = groups
         self.trie = Trie(groups.vectors(self.letters.words))
 
-    def search(self, words: list[str]) -> dict:
-        """The number of near words and the best of each word that has any."""
-        who, found = self.trie.search(self.groups.vectors(words))
-        real = near(Letters(words), self.letters, who, found)
+    def search(self, words: list[str], counts: list[int], outside: bool) -> Iterator[dict]:
+        """The number of near words and the best of each word that has any; with ``outside`` for the subtree's words as well."""
+        asked, asked_counts = _in_order(words, counts)
+        who, found = self.trie.search(self.groups.vectors(asked.words))
+        real = near(asked, self.letters, who, found)
         who, found = who[real], found[real]
-        order = np.lexsort((found, -self.counts[found], who))
-        who, found = who[order], found[order]
-        some, first, n = np.unique(who, return_index=True, return_counts=True)
-        best = found[first]
-        return {
-            "word": [words[k] for k in some.tolist()], "n_near": n, "best_n": self.counts[best],
-            "best": [self.letters.words[k] for k in best.tolist()],
-        }
+        yield _best(asked, who, self.letters, self.counts, found)
+        if outside:
+            yield _best(self.letters, found, asked, asked_counts, who)
+
+
+def _in_order(words: list[str], counts: list[int]) -> tuple[Letters, np.ndarray]:
+    """Words in code-point order, so that the first of several is the smallest, and their counts."""
+    order = sorted(range(len(words)), key=words.__getitem__)
+    return Letters([words[k] for k in order]), np.array([counts[k] for k in order], np.int64)
+
+
+def _best(words: Letters, who: np.ndarray, others: Letters, counts: np.ndarray, found: np.ndarray) -> dict:
+    order = np.lexsort((found, -counts[found], who))
+    who, found = who[order], found[order]
+    some, first, n = np.unique(who, return_index=True, return_counts=True)
+    best = found[first]
+    return {
+        "word": [words.words[k] for k in some.tolist()], "n_near": n, "best_n": counts[best],
+        "best": [others.words[k] for k in best.tolist()],
+    }
 
 
 def searched(rows: DataFrame, groups: LetterGroups) -> DataFrame:
-    """Searches in each subtree; its rows follow one another, those of its own words (``asks`` false) first."""
+    """Searches in each subtree; rows of one ``place`` follow one another by ``kind``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, tree, own, counts, asked = None, None, [], [], []
+        place, kind, tree, own, asked = None, None, None, [], []
 
         def answers():
             nonlocal tree
             if own and asked:
-                tree = tree or Subtree(own, counts, groups)
-                yield as_arrow(NEAR, tree.search(asked))
+                tree = tree or Subtree(*map(list, zip(*own)), groups)
+                for found in tree.search(*map(list, zip(*asked)), kind == OUTSIDE):
+                    yield as_arrow(NEAR, found)
             asked.clear()
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("node", "part", "asks", "word", "n"))
-            for node, part, asks, word, n in zip(*columns):
-                if (node, part) != current:
+            columns = [batch.column(c).to_pylist() for c in ("node", "part", "slice", "kind", "word", "n")]
+            for *at, what, word, n in zip(*columns):
+                if at != place or what != kind:
                     yield from answers()
-                    current, tree, own, counts = (node, part), None, [], []
-                if asks:
-                    asked.append(word)
+                    if at != place:
+                        place, tree, own = at, None, []
+                    kind = what
+                if kind == OWN:
+                    own.append((word, n))
+                else:
+                    asked.append((word, n))
                     if len(asked) >= SEARCHED:
                         yield from answers()
-                else:
-                    own.append(word)
-                    counts.append(n)
         yield from answers()
 
     return rows.mapInArrow(run, NEAR)
@@ -310,13 +350,20 @@ def near_words(words: DataFrame) -> DataFrame:
     """(word, n_near, best_n, best) of every word that has near words; ``words`` are distinct (word, n)."""
     groups = letter_groups(words)
     depth = subtree_depth(words, groups)
-    own = written(placed(words, groups, depth, reach=False), "subtrees")
-    parts = own.groupBy("node").agg(F.ceil(F.count("*") / TREE).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("word"), "parts").cast("int")
-    held = joined_split(own, parts, "node").select("node", part.alias("part"), F.lit(False).alias("asks"), "word", "n")
-    asking = joined_split(placed(words, groups, depth, reach=True), parts, "node")
-    asking = asking.select("node", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("asks"), "word", "n")
-    rows = held.unionByName(asking).repartition("node", "part").sortWithinPartitions("node", "part", "asks")
+    own = written(placed(words, groups, depth, (OWN,)), "subtrees")
+    into = written(shares(own), "shares")
+
+    def dealt(column: str, by: str):
+        return F.pmod(F.xxhash64("word", F.lit(by)), column).cast("int")
+
+    def every(column: str):
+        return F.explode(F.sequence(F.lit(0), F.col(column) - 1))
+
+    held = joined_split(own, into, "node").select("node", dealt("parts", "part").alias("part"), every("slices").alias("slice"), "kind", "word", "n")
+    asking = joined_split(placed(words, groups, depth, (INSIDE, OUTSIDE)), into, "node")
+    asking = asking.select("node", every("parts").alias("part"), dealt("slices", "slice").alias("slice"), "kind", "word", "n")
+    place = ["node", "part", "slice"]
+    rows = held.unionByName(asking).repartition(*place).sortWithinPartitions(*place, "kind")
     best = F.min(F.struct((-F.col("best_n")).alias("rank"), F.col("best").alias("best")))
     found = searched(rows, groups).groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best"))
     return found.select("word", "n_near", (-F.col("best.rank")).alias("best_n"), "best.best")
