@@ -7,6 +7,7 @@ bounded by that and by its longest single text.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -34,7 +35,9 @@ def new_folder(spark: SparkSession, name: str) -> str:
         if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         app = spark.conf.get("spark.app.id", "local")
-        root = _local_root.setdefault(app, tempfile.mkdtemp(prefix="llm-"))
+        if app not in _local_root:
+            _local_root[app] = tempfile.mkdtemp(prefix="llm-")
+        root = _local_root[app]
     return f"{root.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
@@ -45,6 +48,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores behind it until none of ``columns`` is called so in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def released() -> None:
+    """Give memory that a task has freed back to the system; workers live on and serve the next stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def held_out(folds: int, rest: int):
     """Whether the crc32 of the id as text leaves ``rest`` modulo ``folds``; false for a null id."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == rest, F.lit(False))

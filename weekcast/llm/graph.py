@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import free_name, written
 
 
 def joined_split(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -14,8 +14,9 @@ def joined_split(left: DataFrame, right: DataFrame, key: str, how: str = "inner"
     Null-safe equality makes Spark shuffle both sides for the join even where one
     is already dealt by the key, and only partitions of a shuffle for the join are split.
     """
-    right = right.withColumnRenamed(key, "__key")
-    return left.join(right, left[key].eqNullSafe(right["__key"]), how).drop("__key")
+    name = free_name(left.columns, "__key")
+    right = right.withColumnRenamed(key, name)
+    return left.join(right, left[key].eqNullSafe(right[name]), how).drop(name)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -1,17 +1,19 @@
 """Secret scans: fixed patterns, and windows of high entropy in candidate strings.
 
 The patterns are found in each whole text.  Beyond them, every run of at least ``WINDOW`` characters
-of a key alphabet that holds a digit is a candidate: a window slides over it, the Shannon entropy of
-its characters is kept up to date by one count that goes and one that comes, and the windows above
-the threshold of the run's character class join to spans, unless the run is on the allow list
-or overlaps a span of a pattern.
-
-Defined results: a null or empty text has no span; repeated rows are scanned once each; other
-columns are ignored (``redact`` keeps them).
+of a key alphabet that holds a digit, or capital and small letters, is a candidate: a window slides over it, the Shannon
+entropy of its characters is kept up to date by one count that goes and one that comes, and the windows above
+the threshold of the run's character class join to spans.  Left out are runs on the allow list, the parts of a run, between
+separators, that call themselves an example, and spans that lie in those of patterns as a whole.
+
+Defined results: a null or empty text has no span; spans may overlap, of equal starts the kinds come in the order of
+``KINDS``; time is linear in a text's length, however long a run; repeated rows are scanned once each; an empty table gives
+no rows; other columns are ignored (``redact`` keeps them, whatever they are called).
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -38,36 +40,54 @@ CLASSES = (
     ("alnum", re.compile(r"[0-9A-Za-z]+"), 3.3),
     ("base64", re.compile(r"[0-9A-Za-z+/=_-]+"), 3.5),
 )
-#: Runs that look random and are none: UUIDs, dates and numbers, paths and dashed words, placeholders.
+#: The same for a run without a digit: words repeat their letters more than that.
+NO_DIGIT = 3.85
+#: Runs that look random and are none: UUIDs, dates and numbers, paths and dashed words, words and numbers
+#: joined by capitals.  No choice is taken back, so that time is linear.
+_PLAIN = r"(?:[A-Za-z]++(?<=[a-z][a-z])(?![0-9])|[0-9]{1,4}+(?![0-9A-Za-z]))"
 ALLOWED = re.compile(
-    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[-_/+=0-9]+|([A-Za-z]*[a-z]{2,}|[0-9]{1,4})([-_/+=]+([A-Za-z]*[a-z]{2,}|[0-9]{1,4}))*[-_/+=]*|.*(example|EXAMPLE|placeholder|xxxxxx).*"
+    rf"[0-9a-fA-F]{{8}}(?:-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}|[-_/+=0-9]++|{_PLAIN}(?:[-_/+=]++{_PLAIN})*+[-_/+=]*+|(?:[A-Z]?[a-z]{{2,}}+|[0-9]{{1,4}}+(?![0-9]))++"
 )
+#: Parts of a run that are placeholders.
+EXAMPLE = re.compile(r"(?:example|EXAMPLE|placeholder|xxxxxx)")
+SEPARATORS = "-_/+="
+PART = re.compile(r"[^-_/+=]+")
 CANDIDATE = re.compile(r"[0-9A-Za-z+/=_-]{%d,}" % WINDOW)
 
-_CODES = np.zeros(256, np.uint8)  # 1: key alphabet, 2: digit, 4: lower-case hexadecimal
+_CODES = np.zeros(256, np.uint8)  # 1: key alphabet, 2: lower-case hexadecimal
 _CODES[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"]] = 1
-_CODES[[*b"0123456789"]] |= 2
-_CODES[[*b"0123456789abcdef"]] |= 4
+_CODES[[*b"0123456789abcdef"]] |= 2
 _PART = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+_DIGIT, _CAPITAL, _SMALL = re.compile(r"[0-9]"), re.compile(r"[A-Z]"), re.compile(r"[a-z]")
+
+
+def measured(run: str) -> bool:
+    """Whether a run of the key alphabet can be a key: it holds a digit, or capital and small letters."""
+    return bool(_DIGIT.search(run) or _CAPITAL.search(run) and _SMALL.search(run))
 
 
 def entropy_spans(text: str, start: int, end: int) -> list[tuple[int, int]]:
     """Unions of the windows of the candidate run whose entropy reaches the threshold of its class."""
     run = text[start:end]
-    if not any(c.isdigit() for c in run) or ALLOWED.fullmatch(run):
+    if not measured(run) or ALLOWED.fullmatch(run):
         return []
-    least = next(t for _, pattern, t in CLASSES if pattern.fullmatch(run))
+    if EXAMPLE.search(run):
+        # What lies between placeholders is measured as runs of its own.
+        stops = [x for m in PART.finditer(run) if EXAMPLE.search(m[0]) for x in m.span()]
+        rests = ((a + len(run[a:b]) - len(run[a:b].lstrip(SEPARATORS)), b) for a, b in zip([0, *stops[1::2]], [*stops[::2], len(run)]))
+        return [x for a, b in rests if b - a >= WINDOW for x in entropy_spans(text, start + a, start + b)]
+    least = next(t for _, pattern, t in CLASSES if pattern.fullmatch(run)) if _DIGIT.search(run) else NO_DIGIT
     counts: dict[str, int] = {}
     total, spans = 0.0, []
     for i, c in enumerate(run):
-        k = counts.get(c, 0)
-        counts[c] = k + 1
-        total += _PART[k + 1] - _PART[k] if i >= WINDOW or k < WINDOW else 0.0
         if i >= WINDOW:
             gone = run[i - WINDOW]
             k = counts[gone]
             counts[gone] = k - 1
-            total += _PART[k - 1] - (_PART[k] if k <= WINDOW else k * math.log2(k))
+            total += _PART[k - 1] - _PART[k]
+        k = counts.get(c, 0)
+        counts[c] = k + 1
+        total += _PART[k + 1] - _PART[k]
         if i >= WINDOW - 1 and math.log2(WINDOW) - total / WINDOW >= least - 1e-9:
             low = start + i - WINDOW + 1
             if spans and low <= spans[-1][1]:
@@ -77,26 +97,35 @@ def entropy_spans(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return spans
 
 
+def beyond(spans: list[tuple[int, int]], base: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """Those of ``spans``, in ascending order, that the union of the base spans doesn't cover."""
+    union: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in base):
+        if union and a <= union[-1][1]:
+            union[-1][1] = max(b, union[-1][1])
+        else:
+            union.append([a, b])
+    starts = [a for a, _ in union]
+    return [(a, b) for a, b in spans if not (k := bisect.bisect_right(starts, a)) or union[k - 1][1] < b]
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """All (kind, start, end) by start, then kind; code points, end exclusive."""
     found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [("hex", *m.span()) for m in HEX.finditer(text) if len(m[0]) >= 24]
-    base = list(found)
-    for m in CANDIDATE.finditer(text):
-        found += [("entropy", a, b) for a, b in entropy_spans(text, *m.span()) if not any(x < b and a < y for _, x, y in base)]
+    spans = [x for m in CANDIDATE.finditer(text) for x in entropy_spans(text, *m.span())]
+    found += [("entropy", a, b) for a, b in beyond(spans, found)]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
 def suspects(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Numbers of the texts that can hold a span: a keyword, ``AKIA`` or a long run of the key alphabet."""
     codes = _CODES[data]
-    digits = np.concatenate([[0], np.cumsum((codes & 2) > 0)])
     starts, ends = runs((codes & 1) > 0, offsets)
     long = ends - starts >= WINDOW
-    starts, ends = starts[long], ends[long]
-    places = [starts[digits[ends] > digits[starts]]]
-    starts, ends = runs((codes & 4) > 0, offsets)
+    places = [[a for a, b in zip(starts[long], ends[long]) if measured(data[a:b].tobytes().decode("ascii"))]]
+    starts, ends = runs((codes & 2) > 0, offsets)
     places.append(starts[ends - starts >= 24])
     for whole, keys in ((data.tobytes(), (b"AKIA",)), (lowered(data).tobytes(), KEYWORDS)):
         for key in keys:
@@ -104,7 +133,7 @@ def suspects(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             while at >= 0:
                 places.append([at])
                 at = whole.find(key, at + len(key))
-    return np.unique(np.searchsorted(offsets, np.concatenate(places).astype(np.int64), "right") - 1)
+    return np.unique(np.searchsorted(offsets, np.concatenate([np.asarray(x, np.int64) for x in places]), "right") - 1)
 
 
 def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, dict[int, list]]]:
