@@ -5,6 +5,7 @@ import hashlib
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -49,14 +50,18 @@ def test_secrets_against_plain_patterns(spark, small):
     assert [got[10_000 + k].n_entropy for k in (5, 6, 9, 10)] == [0] * 4
 
 
-@given(st.text("aAbB01239-_/=", min_size=20, max_size=80))
-@settings(max_examples=200, deadline=None)
+RUNS = st.lists(st.one_of(st.text("aAbB01239-_/=", min_size=1, max_size=30), st.tuples(st.sampled_from("aA0=-"), st.integers(1, 60)).map(lambda x: x[0] * x[1])), min_size=1, max_size=4)
+
+
+@given(st.one_of(st.text("aAbB01239-_/=", min_size=20, max_size=80), RUNS.map("".join), st.text("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", min_size=20, max_size=40)))
+@settings(max_examples=400, deadline=None)
 def test_incremental_entropy_equals_a_recount(run):
     got = secrets.entropy_spans(run, 0, len(run))
-    if not any(c.isdigit() for c in run) or secrets.ALLOWED.fullmatch(run):
+    digit = any(c.isdigit() for c in run)
+    if not (digit or run.lower() != run != run.upper()) or secrets.ALLOWED.fullmatch(run):
         assert got == []
         return
-    least = next(t for _, p, t in secrets.CLASSES if p.fullmatch(run))
+    least = next(t for _, p, t in secrets.CLASSES if p.fullmatch(run)) if digit else secrets.NO_DIGIT
     covered = np.zeros(len(run), bool)
     for i in range(len(run) - secrets.WINDOW + 1):
         counts = np.array(list(collections.Counter(run[i : i + secrets.WINDOW]).values())) / secrets.WINDOW
@@ -65,6 +70,39 @@ def test_incremental_entropy_equals_a_recount(run):
     assert sum(b - a for a, b in got) == covered.sum()
 
 
+LONG_RUNS = ["H1" + "=" * 22, "Section1" + "-" * 21, "v2" + "_" * 28, "dGVzdA9" + "A" * 30 + "==", "1" + "A" * 40]
+
+
+def test_runs_of_one_character_and_very_long_runs(spark):
+    texts = LONG_RUNS + [f"H1{c * n}" for c in "=-_a0Z" for n in range(1, 201)]
+    for text in texts:
+        assert all(a[0] != "entropy" for a in secrets.find(text)), text
+    for unit in ("ab", "aB", "ab-", "example/", "0123456789abcdef", "a"):
+        start = time.time()
+        secrets.find(unit * (100_000 // len(unit)) + "1")
+        assert time.time() - start < 2, unit
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert secrets.scan(frame).where("n_entropy > 0").count() == 0 and secrets.redact(frame).count() == len(texts)
+
+
+def test_placeholders_letters_and_partly_covered_spans():
+    kinds = lambda text: [s for s in secrets.find(text)]
+    assert kinds("/example/9fQ2xLk7Zt0bVn4Rw8Ys1Cd6Hj3Mp5") == [("entropy", 9, 39)]
+    assert kinds("AB12cd34-example/token-for-tests-only-2024") == [] and kinds("AB12cd34EXAMPLEef56gh78") == []
+    assert kinds("QwErTyUiOpAsDfGhJkLzXcVbNm") == [("entropy", 0, 26)]
+    for name in ("calculateTotalRevenueForCustomer2024Report", "calculateTotalRevenueForCustomer", "HttpServletRequestWrapperFactoryBean"):
+        assert kinds(name) == []
+    # A key that begins with 24 hexadecimal digits: the span beyond them stays.
+    assert [s[0] for s in kinds("ab12" * 6 + "Xq7Rz9Lm2Kp4Wv8Nc1Yt6")] == ["hex", "entropy"]
+    assert [s[0] for s in kinds("0123456789abcdef" * 2)] == ["hex"]
+
+
+def test_secrets_of_odd_rows(spark, odd, nothing):
+    rows = secrets.scan(odd).collect()
+    assert len(rows) == odd.count() and all(r.spans == "" and r.n_entropy == 0 for r in rows)
+    assert secrets.scan(nothing).count() == 0 and secrets.redact(nothing).count() == 0
+
+
 def test_redaction_keeps_columns_and_clean_texts(spark, odd):
     docs = odd.unionByName(spark.createDataFrame([(99, "x token=abcdef y")], "doc_id long, text string"), allowMissingColumns=True)
     out = secrets.redact(docs)
@@ -153,6 +191,20 @@ def test_packing_against_the_tokenizer(spark, small, odd):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_tokens_of_random_unicode():
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    tokenizer, encoder, rng = Tokenizer.from_file(path), packing.ChunkEncoder(path), random.Random(11)
+    letters = [*"aAzZ09 \n\t.,:;!?#%&*$'-", *"İıßéÉñÅǅﬁΣς한日本ไทยа", *map(chr, range(0x300, 0x310)), "\u200d", "\U0001f600", "\u0130"]
+    texts = ["İ.", "İ:", "Wİ##", "é.", "Å!", "ﬁ?"]
+    texts += ["".join(rng.choice(letters) if rng.random() < 0.7 else chr(rng.randrange(1, 0xD800)) for _ in range(rng.randint(1, 8))) for _ in range(100_000)]
+    for at in range(0, len(texts), 5000):
+        some = texts[at : at + 5000]
+        for text, found in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == found.ids, text
+
+
 def plain_sum_of_squares(lengths, capacity):
     gaps, count = [], 0
     for s in sorted(lengths, reverse=True):

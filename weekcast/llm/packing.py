@@ -58,7 +58,8 @@ class ChunkEncoder:
 
     def split(self, chunk: str) -> tuple[str, str]:
         word = chunk.rstrip(self.TAIL)
-        if not word.isalpha():
+        # Lowered and normalised, a letter may end in a mark that joins the punctuation behind it.
+        if not word.isalpha() or not (word.isascii() or self.tokenizer.normalizer.normalize_str(word)[-1:].isalpha()):
             return chunk, ""
         return word.lower() if max(word) < "\u0130" else word, chunk[len(word) :]
 
@@ -76,13 +77,12 @@ class ChunkEncoder:
 
     def encode(self, text: str) -> bytes:
         chunks = text.replace("\n", " ").split(" ")
-        known = self.chunks
-        missing = [x for x in dict.fromkeys(chunks) if x not in known]
+        missing = set(chunks).difference(self.chunks)
         if missing:
-            if len(known) + len(self.parts) > REMEMBERED:
-                missing = list(dict.fromkeys(chunks))
-            self.learn(missing)
-        return b"".join([known[x] for x in chunks])
+            if len(self.chunks) + len(self.parts) > REMEMBERED:
+                missing = set(chunks)
+            self.learn(list(missing))
+        return b"".join(map(self.chunks.__getitem__, chunks))
 
 
 _encoders: dict[str, ChunkEncoder] = {}
