@@ -6,8 +6,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from weekcast.llm import common, language, quality, toxicity
+import corpus_pipeline
+from weekcast.llm import common, language, quality, secrets, toxicity
 from weekcast.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -128,3 +130,21 @@ def test_subwords_stay_in_their_text():
         own = [p.tolist() for p in language.subwords(np.frombuffer(d, np.uint8), np.array([0, len(d)]))]
         cut = [p[offsets[k] : max(offsets[k], offsets[k + 1] - n + 1)].tolist() for n, p in zip(language.SIZES, together)]
         assert [c for c in cut if c] == own
+
+
+CLASHES = ["_row", "_toxicity", "_n_secrets", "_several", "_lone", "__key", "SCORE", "lang_pred", "accepted"]
+
+
+def test_columns_with_clashing_names_come_back(spark, small):
+    docs = small("documents").limit(30)
+    own = {name: F.lit(k).cast("long") + F.col("doc_id") for k, name in enumerate(CLASHES)}
+    docs = docs.withColumns(own)
+    stages = [stage for _, stage in corpus_pipeline.STAGES[:-1]]
+    model = toxicity.trained(docs, small("labels"))
+    frames = [stage(spark, docs, SF) for stage in stages]
+    frames += [toxicity.score_texts(docs, model, "score"), language.predict(docs, None), language.predict(docs, language.trained(small("documents"))), secrets.redact(docs)]
+    for k, found in enumerate(frames):
+        assert found.columns[: len(docs.columns)] == docs.columns and len({c.lower() for c in found.columns}) == len(found.columns)
+        assert k >= 4 or found.columns == docs.columns
+        rows = found.collect()
+        assert rows and all(r[name] == n + r.doc_id for r in rows for n, name in enumerate(CLASHES))

@@ -56,6 +56,13 @@ def free_name(columns: list[str], name: str) -> str:
     return name
 
 
+def slices(batches: Iterator[pa.RecordBatch], most: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``most`` rows, for rows that become Python objects."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, most):
+            yield batch.slice(low, most)
+
+
 def released() -> None:
     """Give memory that a task has freed back to the system; workers live on and serve the next stages."""
     pa.default_memory_pool().release_unused()

@@ -17,7 +17,8 @@
 Defined results: rows with a null id link with nothing and have a null component, but ``drop_near_duplicates``
 links them as any others; a null or empty text has
 an empty set and links with nothing; repeated rows and rows sharing an id are returned once each; an empty table gives no
-rows; other columns are ignored.
+rows; other columns are ignored (``drop_near_duplicates`` keeps them, whatever they are called); of equal candidates the smallest id,
+then the smallest hash of the row is a component's first; texts are read whole, in chunks.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, as_arrow, mix, shingles, table, text_chunks, words, written
+from .common import U64, as_arrow, free_name, mix, released, shingles, slices, table, text_chunks, words, written
 from .graph import components, joined_split
 
 FREQUENT = 16
@@ -133,14 +134,19 @@ def prefix_signatures(n: int, main: bool, size: int, df: np.ndarray, tokens: np.
 def signatures(hits: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sigs, keys = [], []
-            for r in batch.to_pylist():
-                df = np.array([x["df"] for x in r["hits"]], np.int64)
-                tokens = np.array([x["token"] for x in r["hits"]], np.int64)
-                found = prefix_signatures(r["n"], r["main"], r["size"], df, tokens, percent)
-                sigs += found
-                keys += [r["key"]] * len(found)
-            yield as_arrow(SIGNATURES, {"sig": sigs, "key": keys})
+            # The hits of all rows, one behind the other.
+            ends = np.cumsum(batch.column("hits").value_lengths().to_numpy(zero_copy_only=False)).tolist()
+            flat = batch.column("hits").flatten()
+            df, tokens = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("df", "token"))
+            sigs, keys, low = [], [], 0
+            for key, main, n, size, high in zip(*(batch.column(c).to_pylist() for c in ("key", "main", "n", "size")), ends):
+                found = prefix_signatures(n, main, size, df[low:high], tokens[low:high], percent)
+                sigs.append(np.array(found, np.int64))
+                keys.append(np.full(len(found), key, np.int64))
+                low = high
+            if sigs:
+                yield as_arrow(SIGNATURES, {"sig": np.concatenate(sigs), "key": np.concatenate(keys)})
+        released()
 
     return hits.mapInArrow(run, SIGNATURES)
 
@@ -225,7 +231,7 @@ def cell_links(cells: DataFrame, percent: int) -> DataFrame:
             columns = zip(*out) if out else [[]] * 3
             return as_arrow(LINKS, dict(zip(("key", "root", "links"), columns)))
 
-        for batch in batches:
+        for batch in slices(batches):
             for family, low, high, block, key, n, copies, tokens in zip(*(batch.column(c).to_pylist() for c in ("family", "low", "high", "block", "key", "n", "copies", "tokens"))):
                 if current != (family, low, high):
                     close()
@@ -237,6 +243,7 @@ def cell_links(cells: DataFrame, percent: int) -> DataFrame:
                 out.clear()
         close()
         yield flush()
+        released()
 
     return cells.mapInArrow(run, LINKS)
 
@@ -260,9 +267,9 @@ def member_sets(members: DataFrame, k: int) -> DataFrame:
     return members.mapInArrow(run, MEMBER)
 
 
-def with_rows(docs: DataFrame) -> DataFrame:
-    """The documents with a number ``_row`` made of id and text, which repeated rows share."""
-    return docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+def with_rows(docs: DataFrame, name: str = "_row") -> DataFrame:
+    """The documents with a number ``name`` made of id and text, which repeated rows share."""
+    return docs.withColumn(name, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, no_ids: bool = False) -> DataFrame:
@@ -310,15 +317,15 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, no_ids: b
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without near duplicates: of each component one row stays, also among null ids; empty texts stay all."""
-    found = jaccard_components(docs, k, percent, no_ids=True).where("kept")
-    lone = F.col("n_shingles").eqNullSafe(0)
-    kept = written(found.groupBy("_row").agg((F.count("*") > 1).alias("_several"), F.first(lone).alias("_lone")), "kept")
-    several = F.col("_several") & ~F.col("_lone")
-    rows = joined_split(with_rows(docs), kept, "_row")
+    row, more, lone = (free_name(docs.columns, c) for c in ("_row", "_several", "_lone"))
+    found = jaccard_components(docs, k, percent, no_ids=True).where("kept").withColumnRenamed("_row", row)
+    kept = written(found.groupBy(row).agg((F.count("*") > 1).alias(more), F.first(F.col("n_shingles").eqNullSafe(0)).alias(lone)), "kept")
+    several = F.col(more) & ~F.col(lone)
+    rows = joined_split(with_rows(docs, row), kept, row)
     if kept.where(several).isEmpty():
         return rows.select(*docs.columns)
     # A row that comes several times, the same id and text, stays once.
-    once = rows.where(several).dropDuplicates(["_row"])
+    once = rows.where(several).dropDuplicates([row])
     return rows.where(~several).unionByName(once).select(*docs.columns)
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, lowered, one_per_id, sampled, table, text_chunks
+from .common import free_name, held_out, lowered, one_per_id, sampled, table, text_chunks
 
 BITS = 15
 SIZES = (2, 3, 4)
@@ -116,11 +116,15 @@ def fit(rows: pa.Table, width=16, passes=6, rate=0.5) -> Model | None:
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of ``docs`` with ``lang_pred``, ``score`` and ``accepted`` (the score reaches the calibrated bound)."""
+    """All columns of ``docs`` with ``lang_pred``, ``score`` and ``accepted`` (the score reaches the calibrated bound).
+
+    Names that are taken get underscores behind them.
+    """
+    pred, chance, accepted = (free_name(docs.columns, c) for c in ("lang_pred", "score", "accepted"))
     letters = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0), "accepted": F.lit(False)})
-    schema = docs.withColumns({"lang_pred": F.lit("a"), "score": F.lit(0.0), "accepted": F.lit(True)}).schema
+        return docs.withColumns({pred: F.lit("und"), chance: F.lit(0.0), accepted: F.lit(False)})
+    schema = docs.withColumns({pred: F.lit("a"), chance: F.lit(0.0), accepted: F.lit(True)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = len(model.languages)
@@ -140,13 +144,13 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             best, score = chances.argmax(axis=1), chances.max(axis=1)
             names = pa.array(model.languages, pa.string()).take(pa.array(best))
             columns = [*batch.columns, names, pa.array(score), pa.array(score >= model.least)]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lang_pred", "score", "accepted"])
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, pred, chance, accepted])
 
     found = docs.mapInArrow(run, schema)
     return found.withColumns({
-        "lang_pred": F.when(letters, F.col("lang_pred")).otherwise("und"),
-        "score": F.when(letters, F.col("score")).otherwise(0.0),
-        "accepted": letters & F.col("accepted"),
+        pred: F.when(letters, F.col(pred)).otherwise("und"),
+        chance: F.when(letters, F.col(chance)).otherwise(0.0),
+        accepted: letters & F.col(accepted),
     })
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_arrow, table, written
+from .common import as_arrow, released, table, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -106,6 +106,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
                     piece = ids[k : k + size]
                     out.append((doc_id, k // size, k // 4, len(piece) // 4, zlib.crc32(piece)))
             yield as_arrow(PIECE, dict(zip([x.split()[0] for x in PIECE.split(", ")], zip(*out) if out else [[]] * 5)))
+        released()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECE)
 
@@ -154,6 +155,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        # The worker may have encoded texts before; nothing is encoded from here on.
+        _encoders.clear()
+        released()
         first = TaskContext.get().partitionId() << 33
         held, count = [], 0
 

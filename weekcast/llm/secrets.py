@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_arrow, lowered, runs, table, text_chunks
+from .common import as_arrow, free_name, lowered, runs, table, text_chunks
 
 # The patterns of the base kinds, in their order.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -171,7 +171,11 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[secret]", count: str = "_n_secrets") -> DataFrame:
-    """``docs`` with every span in ``text`` replaced by ``mark``, overlapping ones by one, and the number of spans as ``count``."""
+    """``docs`` with every span in ``text`` replaced by ``mark``, overlapping ones by one, and the number of spans as ``count``.
+
+    ``count`` gets underscores behind it where it is taken.
+    """
+    count = free_name(docs.columns, count)
     schema = docs.withColumn(count, F.lit(0)).schema
 
     def run(batches):

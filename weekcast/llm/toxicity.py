@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, SpanHash, held_out, lowered, runs, table, text_chunks, training_rows
+from .common import U64, SpanHash, free_name, held_out, lowered, released, runs, table, text_chunks, training_rows
 
 BITS = 20
 #: Bound on the labelled rows that the model is fitted on.
@@ -93,7 +93,8 @@ def fit(rows: Iterable[tuple[str, int]], alpha=3.0, beta=1.0, l1=6.0, l2=0.1, pa
 
 
 def score_texts(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
-    """All columns of ``docs`` and a double ``column`` between 0 and 1."""
+    """All columns of ``docs`` and a double ``column`` between 0 and 1, whose name gets underscores behind it where it is taken."""
+    column = free_name(docs.columns, column)
     schema = docs.withColumn(column, F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,6 +110,7 @@ def score_texts(docs: DataFrame, model: Model, column: str = "toxicity") -> Data
                     total[low:high] += np.bincount(pairs >> BITS, dense[pairs & ((1 << BITS) - 1)], high - low)
             scores = 1 / (1 + np.exp(-np.clip(total, -700, 700)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, column])
+        released()
 
     return docs.mapInArrow(run, schema)
 
