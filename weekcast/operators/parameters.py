@@ -21,6 +21,7 @@ from weekcast.config import (
 )
 from weekcast.functions.numbers import numeric_text_to_int
 from weekcast.sources.shared import folder_names
+from weekcast.sources.versions import VersionedTable
 
 
 def validate_params(entries: DataFrame) -> DataFrame:
@@ -100,6 +101,20 @@ def config_from_params(params: DataFrame, semantics: str = REFERENCE) -> Forecas
     )
 
 
+def append_to(table: VersionedTable, entries: DataFrame) -> int:
+    """Add the valid entries to a kept parameter table; only they are written.  Returns the version's number."""
+    return table.append(validate_params(entries))
+
+
+def update_in(table: VersionedTable, name: str, value: int) -> int | None:
+    """Set every row of ``name`` in a kept parameter table; an unknown name or a value out of range changes nothing."""
+    low, high = PARAMETER_RANGES.get(name, (1, 0))
+    if not low <= value <= high:
+        return None
+    row = table.spark.range(1).select(F.lit(name).alias("parameter"), F.lit(value).alias("value"))
+    return table.update(row, ["parameter"])
+
+
 def write_version(table: DataFrame, path: str) -> int:
     """Keep a table as the next version under ``path``; earlier versions stay.  Returns its number."""
     spark = table.sparkSession

@@ -445,6 +445,14 @@ _GLOBAL_PRICED = """SELECT * FROM promo WHERE map_price <> 0 AND CAST(targetweek
 _SITE_ITEM = f"regionseg3 = '{SITE}' AND item = '{ITEM}'"
 _POINT = "max(time_series) AS value FROM mart GROUP BY regionseg3, item, yearweek"
 
+_EDITED = f"""SELECT {", ".join(c for c in MART_COLUMNS if c != "ir")},
+CASE WHEN regionseg = '{REGION}' AND week = '30' THEN 7 ELSE ir END AS ir FROM (
+  SELECT {", ".join(c for c in MART_COLUMNS if c != "qty")}, CASE WHEN productgroup = '{GROUP}' AND week = '10' THEN 1000 + max(qty)
+    OVER (PARTITION BY regionseg, regionseg3, salesid, productgroup, item, yearweek) ELSE qty END AS qty
+  FROM mart WHERE NOT (item = '{ITEM}' AND week = '20')
+  UNION ALL BY NAME SELECT {", ".join(c for c in MART_COLUMNS if c != "fcst")}, CAST(-1 AS DOUBLE) AS fcst
+  FROM mart WHERE productgroup = '{GROUP}' AND week = '30')"""
+
 _FINAL = {
     "csv_roundtrip": "SELECT * FROM promo",
     "csv_reordered": "SELECT * FROM promo",
@@ -527,6 +535,12 @@ THEN {UPDATED_WINDOW} ELSE value END AS value FROM entries""",
     "param_versions": f"""SELECT parameter, CASE WHEN parameter = 'average_window'
 THEN {UPDATED_WINDOW} ELSE value END AS value
 FROM (SELECT * FROM resolved_entries UNION ALL SELECT * FROM valid_entries)""",
+    "param_edits": f"""SELECT parameter, CASE WHEN parameter = 'average_window'
+THEN {UPDATED_WINDOW} ELSE value END AS value
+FROM (SELECT * FROM resolved_entries UNION ALL SELECT * FROM valid_entries)""",
+    "mart_edits": _EDITED,
+    "mart_edits_compacted": _EDITED,
+    "reforecast_published": "SELECT * FROM re_ref_rows",
     "resolve_params": "SELECT * FROM resolved_entries",
     "reforecast_ref": "SELECT * FROM re_ref_rows",
     "reforecast_upper_columns": "SELECT * FROM re_ref_rows",

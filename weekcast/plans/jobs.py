@@ -18,6 +18,7 @@ from weekcast.operators.promotions import filter_valid_promotions, refine_prices
 from weekcast.operators.seasonality import add_seasonality
 from weekcast.sources.schemas import MART, PROMOTION, SALES, conform
 from weekcast.sources.shared import shared_folder, write_stage
+from weekcast.sources.versions import VersionedTable
 
 #: Order of a mart's rows inside a year: product group and item first, which browsing filters on.
 MART_ORDER = ["productgroup", "item", "regionseg3", "yearweek"]
@@ -95,3 +96,16 @@ def run_reforecast(
     Readers and writers are those of ``sources``, a database's or a table's; the mart's names may be in any case.
     """
     write_result(reforecast_with_params(conform(read_mart(), MART), read_params(), recompute, semantics))
+
+
+def republish(
+    table: VersionedTable, read_params: Callable[[], DataFrame], recompute: bool = False, semantics: str = REFERENCE
+) -> int:
+    """Forecast a kept mart again and put the result in its place, all at once.  Returns the version's number.
+
+    Readers see the old mart or the new one; a failure in between leaves the old one, and a change that somebody
+    commits meanwhile is an error rather than lost.
+    """
+    based_on = table.commit().number
+    rows = reforecast_with_params(conform(table.read(based_on), MART), read_params(), recompute, semantics)
+    return table.replace(conform(rows, MART), expected=based_on, partition_by=["year"], sort_by=MART_ORDER)

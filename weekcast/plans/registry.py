@@ -21,7 +21,8 @@ from weekcast.operators import panel as panels
 from weekcast.operators import seasonality as seasonal
 from weekcast.plans import jobs
 from weekcast.sources import files, schemas, star_schema
-from weekcast.sources.shared import drop_folder, identity, shared_folder, write_stage
+from weekcast.sources.shared import identity, shared_folder, write_stage
+from weekcast.sources.versions import VersionedTable
 
 K5, K6 = schemas.SERIES_KEY, schemas.PANEL_KEY
 _SALES_SERIES = [
@@ -44,17 +45,13 @@ class Stages:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.folder = shared_folder(spark)
-        self._rewritten: dict[str, str] = {}
 
     def _write(self, df: DataFrame, name: str) -> DataFrame:
         return write_stage(df, self.folder, name)
 
     def rewritten(self, name: str) -> str:
-        """A new path for a copy that a query writes on every call; the one before it is deleted."""
-        if name in self._rewritten:
-            drop_folder(self.spark, self._rewritten[name])
-        self._rewritten[name] = f"{shared_folder(self.spark)}/{name}"
-        return self._rewritten[name]
+        """A new path for a copy that a query writes on every call; earlier ones stay, since results that read them are lazy."""
+        return f"{shared_folder(self.spark)}/{name}"
 
     @cached_property
     def lines(self):
@@ -535,6 +532,52 @@ def param_versions(t: Stages):
     return parameters.read_version(t.spark, path)
 
 
+@query
+def param_edits(t: Stages):
+    table = VersionedTable(t.spark, t.rewritten("kept_parameters"))
+    table.replace(parameters.resolve_params(t.entries))
+    parameters.append_to(table, t.typed_entries)
+    parameters.update_in(table, "average_window", UPDATED_WINDOW)
+    return table.read()
+
+
+#: Keys of a mart's rows.
+_MART_KEY = ["regionseg", "regionseg3", "salesid", "productgroup", "item", "yearweek"]
+
+
+def _edited_mart(t: Stages, compacted: bool) -> DataFrame:
+    """The mart after an update, an append, a deletion and another update, made as keyed edits."""
+    table = VersionedTable(t.spark, t.rewritten("kept_mart"))
+    table.replace(t.mart, partition_by=["year"], sort_by=jobs.MART_ORDER)
+    group = t.mart.where((F.col("productgroup") == GROUP) & (F.col("week") == "10"))
+    table.update(group.groupBy(*_MART_KEY).agg((F.max("qty") + 1000).alias("qty")), _MART_KEY)
+    table.append(t.mart.where((F.col("productgroup") == GROUP) & (F.col("week") == "30")).withColumn("fcst", F.lit(-1.0)))
+    table.delete(t.mart.where((F.col("item") == ITEM) & (F.col("week") == "20")), ["item", "yearweek"])
+    if compacted:
+        table.compact(partition_by=["year"], sort_by=jobs.MART_ORDER)
+    region = t.mart.where((F.col("regionseg") == REGION) & (F.col("week") == "30")).select("regionseg", "yearweek").distinct()
+    table.update(region.withColumn("ir", F.lit(7)), ["regionseg", "yearweek"])
+    return table.read()
+
+
+@query
+def mart_edits(t: Stages):
+    return _edited_mart(t, compacted=False)
+
+
+@query
+def mart_edits_compacted(t: Stages):
+    return _edited_mart(t, compacted=True)
+
+
+@query
+def reforecast_published(t: Stages):
+    table = VersionedTable(t.spark, t.rewritten("published_mart"))
+    table.replace(t.mart, partition_by=["year"], sort_by=jobs.MART_ORDER)
+    jobs.republish(table, lambda: t.parameter_table)
+    return table.read()
+
+
 @query
 def resolve_params(t: Stages):
     return parameters.resolve_params(t.entries)

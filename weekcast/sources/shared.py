@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import tempfile
 import uuid
 
@@ -62,6 +63,46 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     system.delete(found, True)
 
 
+def read_file(spark: SparkSession, path: str) -> str:
+    """Text of a small file, such as a commit."""
+    found, system = _path(spark, path)
+    stream = system.open(found)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def commit_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that appears whole, or not at all where the name is taken; returns whether it was written.
+
+    A local name is taken by a hard link, others by a rename, which a distributed file system
+    refuses for an existing target.
+    """
+    folder, name = path.rsplit("/", 1)
+    target, system = _path(spark, path)
+    parent = target.getParent()
+    system.mkdirs(parent)
+    if system.exists(target):
+        return False
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}-{uuid.uuid4().hex}")
+    stream = system.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    real = system.resolvePath(parent).toUri()
+    if real.getScheme() != "file":
+        return bool(system.rename(draft, target))
+    try:
+        os.link(f"{real.getPath()}/{draft.getName()}", f"{real.getPath()}/{name}")
+        return True
+    except FileExistsError:
+        return False
+    finally:
+        system.delete(draft, False)
+
+
 def identity(spark: SparkSession, folder: str) -> str:
     """Names, sizes and times of the tables in a folder: changes when one of them is written anew."""
     found, system = _path(spark, folder)
