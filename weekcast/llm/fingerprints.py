@@ -225,10 +225,9 @@ def edited_neighbours(docs: DataFrame) -> DataFrame:
     found = written(ranged.select("doc_id", "text").mapInArrow(_streamed, STREAMED), "neighbours")
     heads = found.where("kind = 1").select("part", F.col("text").alias("following"))
     # One number for each range that has rows.
-    parts = heads.select("part")
-    first = parts.agg(F.min("part").alias("first"))
-    after = parts.withColumn("after", F.lead("part").over(Window.orderBy("part"))).join(F.broadcast(first), F.lit(True))
-    after = after.select(F.col("part").alias("before"), F.coalesce("after", "first").alias("after"))
+    by_part = Window.orderBy("part")
+    first = F.min("part").over(by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    after = heads.select(F.col("part").alias("before"), F.coalesce(F.lead("part").over(by_part), first).alias("after"))
     tails = found.where("kind = 2").select("part", "doc_id", "text")
     pairs = tails.join(after, tails["part"] == after["before"]).drop("part").join(heads, F.col("after") == heads["part"])
     closed = pairs.select("doc_id", "text", "following").mapInArrow(_closed, RESULT)
