@@ -1,6 +1,8 @@
 import pytest
 
 from tests.data import KEY, mart_frame, seasonal_frame
+from weekcast.config import ForecastConfig
+from weekcast.functions.weeks import agreeing_years, check_years
 from weekcast.operators import browse, forecasting
 from weekcast.sources import schemas
 
@@ -49,3 +51,22 @@ def test_series(spark, mart):
     assert [(p.yearweek, p.value) for p in arrays["ITEM0001"]][:2] == [("201608", 99.0), ("201609", 9.0)]
     text = browse.chart_points(browse.series_array(mart, value="qty")).filter("item = 'ITEM0001'").first()
     assert text.points.startswith("['201608', 8.0],['201609', 9.0]")
+
+
+def test_rows_without_a_year_count_by_their_week(spark):
+    rows = spark.createDataFrame([("201601", "2016", "G", 1.0), ("201602", None, "G", 2.0), ("201501", None, "G", 3.0), ("201552", "2015", "G", 4.0)], "yearweek string, year string, productgroup string, qty double")
+    weeks = lambda df: sorted(r.yearweek for r in df.collect())
+    assert weeks(browse.mart_filter(rows, "G", after=201552)) == ["201601", "201602"]
+    assert weeks(browse.mart_filter(rows, "G", before=201601)) == ["201501", "201552"]
+    assert weeks(forecasting.cut_history(rows, "201552")) == ["201501", "201552"] and forecasting.latest_week(rows) == "201602"
+    assert weeks(forecasting.trailing_output(rows, ForecastConfig(base_back=0))) == ["201602"]
+
+
+def test_years_that_disagree_with_their_weeks_are_errors(spark):
+    rows = spark.createDataFrame([("201601", "2016"), ("201602", "2015"), ("201603", None)], "yearweek string, year string")
+    with pytest.raises(ValueError, match="year 2015 does not fit week 201602"):
+        check_years(rows)
+    check_years(rows.where("yearweek <> '201602'"))
+    with pytest.raises(Exception, match="year 2015 does not fit week 201602"):
+        agreeing_years(rows).collect()
+    assert agreeing_years(rows.where("yearweek <> '201602'")).count() == 2

@@ -47,8 +47,8 @@ def weeks_in_year(year: Column) -> Column:
 
 def first_week_index(year: Column) -> Column:
     """:func:`week_index` of week 1 of a year."""
-    monday = F.trunc(F.make_date(year, F.lit(1), F.lit(4)), "week")
-    days = F.datediff(monday, F.to_date(F.lit(_EPOCH_MONDAY)))
+    # 4 January is always in week 1; the first Monday counted is day 4.
+    days = F.unix_date(F.make_date(year, F.lit(1), F.lit(4))) - F.lit(4)
     return F.floor(days / F.lit(7)).cast("int")
 
 
@@ -145,15 +145,35 @@ def week_range(first: Column, last: Column) -> Column:
 
 
 def in_years(df: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Rows whose ``year`` column lies between the years of two labels; a table without one stays whole.
+    """Rows whose ``year`` column lies between the years of two labels, or is missing; a table without one stays whole.
 
     Used beside a bound on the week, which it follows from: a table written by
-    year is then read only in part.
+    year is then read only in part.  Years that disagree with their weeks are for :func:`check_years` to find.
     """
     if "year" not in df.columns:
         return df
     if first is not None:
-        df = df.filter(F.col("year") >= F.lit(first[:4]))
+        df = df.filter(F.col("year").isNull() | (F.col("year") >= F.lit(first[:4])))
     if last is not None:
-        df = df.filter(F.col("year") <= F.lit(last[:4]))
+        df = df.filter(F.col("year").isNull() | (F.col("year") <= F.lit(last[:4])))
     return df
+
+
+def _disagrees() -> Column:
+    return F.col("year") != year_of(F.col("yearweek"))
+
+
+def agreeing_years(df: DataFrame) -> DataFrame:
+    """``df``, in which a year that is not that of its week is an error when the row is read."""
+    wrong = F.raise_error(F.concat(F.lit("year "), F.col("year"), F.lit(" does not fit week "), F.col("yearweek")))
+    return df.withColumn("yearweek", F.when(_disagrees(), wrong.cast("string")).otherwise(F.col("yearweek")))
+
+
+def check_years(df: DataFrame) -> None:
+    """Look for a year that is not that of its week in a whole table from elsewhere; raises an error that names both.
+
+    Reads two columns.  Such a row would be passed over by a bound on the year that the bound on its week allows.
+    """
+    found = df.filter(_disagrees()).select("year", "yearweek").first()
+    if found is not None:
+        raise ValueError(f"year {found.year} does not fit week {found.yearweek}")

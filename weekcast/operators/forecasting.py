@@ -71,7 +71,7 @@ def latest_week(df: DataFrame) -> str:
     Of a table written by year only the last year is read.
     """
     if "year" in df.columns:
-        df = df.filter(F.col("year") == scalar_of(df, F.max("year")))
+        df = df.filter(F.col("year").isNull() | (F.col("year") == scalar_of(df, F.max("year"))))
     latest = df.agg(F.max("yearweek")).first()[0]
     if latest is None:
         raise ValueError("the table has no rows to take the latest week from")

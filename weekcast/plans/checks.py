@@ -456,6 +456,10 @@ CASE WHEN regionseg = '{REGION}' AND week = '30' THEN 7 ELSE ir END AS ir FROM (
 _FINAL = {
     "csv_roundtrip": "SELECT * FROM promo",
     "csv_reordered": "SELECT * FROM promo",
+    "csv_accepted": f"SELECT * FROM promo WHERE item <> '{ITEM}' AND substr(targetweek, 5) <> '20'",
+    "csv_rejected": f"""SELECT 'map_price' AS column, 'not a value of type bigint' AS reason, count(*) AS n
+FROM promo WHERE item = '{ITEM}' UNION ALL
+SELECT 'targetweek', 'no ISO week', count(*) FROM promo WHERE substr(targetweek, 5) = '20'""",
     "scan_all": "SELECT * FROM sales",
     "partitioned_roundtrip": f"SELECT {_MART} FROM mart",
     "preview_top2": f"SELECT * FROM sales ORDER BY {_LINE}, yearweek, qty LIMIT 2",
@@ -560,6 +564,8 @@ AND CAST(yearweek AS INTEGER) < {BEFORE_WEEK}""",
     "mart_after": f"""SELECT {_MART} FROM mart WHERE productgroup = '{GROUP}'
 AND CAST(yearweek AS INTEGER) > {AFTER_WEEK}""",
     "drill_down": f"""SELECT {_MART} FROM mart WHERE regionseg = '{REGION}'
+AND productgroup = '{GROUP}' AND {_SITE_ITEM} ORDER BY yearweek""",
+    "drill_down_clustered": f"""SELECT {_MART} FROM mart WHERE regionseg = '{REGION}'
 AND productgroup = '{GROUP}' AND {_SITE_ITEM} ORDER BY yearweek""",
     "drill_down_series": f"""SELECT regionseg, regionseg3, productgroup, item,
 CAST(row_number() OVER (PARTITION BY regionseg, regionseg3, productgroup, item ORDER BY yearweek) - 1
@@ -567,6 +573,7 @@ AS INTEGER) AS pos, yearweek, value FROM (
   SELECT regionseg, regionseg3, productgroup, item, yearweek, max(time_series) AS value FROM mart
   WHERE regionseg = '{REGION}' AND productgroup = '{GROUP}' GROUP BY ALL)""",
     "item_series": f"SELECT yearweek, time_series FROM mart WHERE {_SITE_ITEM} ORDER BY yearweek",
+    "item_series_clustered": f"SELECT yearweek, time_series FROM mart WHERE {_SITE_ITEM} ORDER BY yearweek",
     "item_list": "SELECT DISTINCT item FROM mart ORDER BY item",
     "row_count": "SELECT count(*) AS row_count FROM mart",
     "series_array": f"""SELECT regionseg3, item, CAST(row_number() OVER (

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekcast.config import REFERENCE, ForecastConfig
-from weekcast.functions.weeks import year_of
+from weekcast.functions.weeks import agreeing_years, check_years, year_of
 from weekcast.operators.browse import final_mart
 from weekcast.operators.forecasting import forecast, reforecast
 from weekcast.operators.panel import gap_fill, join_promotions, promotion_flag
 from weekcast.operators.parameters import config_from_params
 from weekcast.operators.promotions import filter_valid_promotions, refine_prices
 from weekcast.operators.seasonality import add_seasonality
+from weekcast.sources.clustering import write_clustered
 from weekcast.sources.schemas import MART, PROMOTION, SALES, conform
 from weekcast.sources.shared import shared_folder, write_stage
 from weekcast.sources.versions import VersionedTable
@@ -26,7 +27,13 @@ MART_ORDER = ["productgroup", "item", "regionseg3", "yearweek"]
 
 def write_mart(mart: DataFrame, folder: str, name: str = "mart") -> DataFrame:
     """Write a mart by year, its files in an order that lets a reader skip product groups."""
-    return write_stage(conform(mart, MART), folder, name, partition_by=["year"], sort_by=MART_ORDER)
+    return write_stage(agreeing_years(conform(mart, MART)), folder, name, partition_by=["year"], sort_by=MART_ORDER)
+
+
+def write_browse_mart(mart: DataFrame, path: str, **layout) -> None:
+    """Write a mart for browsing: filters on group, site or item, alone or together, read a small part of it in any year."""
+    rows = agreeing_years(conform(mart, MART))
+    write_clustered(rows, path, ["productgroup", "regionseg3", "item"], then_by=["yearweek"], **layout)
 
 
 def price_promotions(promo: DataFrame) -> DataFrame:
@@ -94,8 +101,11 @@ def run_reforecast(
     """The production job: parameter table and mart from any source, the result to any sink.
 
     Readers and writers are those of ``sources``, a database's or a table's; the mart's names may be in any case.
+    A row whose year is missing counts by its week; one whose year is not that of its week ends the job.
     """
-    write_result(reforecast_with_params(conform(read_mart(), MART), read_params(), recompute, semantics))
+    mart = conform(read_mart(), MART)
+    check_years(mart)
+    write_result(reforecast_with_params(mart, read_params(), recompute, semantics))
 
 
 def republish(
@@ -108,4 +118,4 @@ def republish(
     """
     based_on = table.commit().number
     rows = reforecast_with_params(conform(table.read(based_on), MART), read_params(), recompute, semantics)
-    return table.replace(conform(rows, MART), expected=based_on, partition_by=["year"], sort_by=MART_ORDER)
+    return table.replace(agreeing_years(conform(rows, MART)), expected=based_on, partition_by=["year"], sort_by=MART_ORDER)

@@ -20,7 +20,7 @@ from weekcast.operators import browse, forecasting, keyed, parameters, promotion
 from weekcast.operators import panel as panels
 from weekcast.operators import seasonality as seasonal
 from weekcast.plans import jobs
-from weekcast.sources import files, schemas, star_schema
+from weekcast.sources import files, rejects, schemas, star_schema
 from weekcast.sources.shared import identity, shared_folder, write_stage
 from weekcast.sources.versions import VersionedTable
 
@@ -103,6 +103,12 @@ class Stages:
     def mart(self):
         return jobs.write_mart(browse.final_mart(forecasting.forecast(self.seasonal)), self.folder)
 
+    @cached_property
+    def browse_mart(self):
+        path = f"{self.folder}/browse_mart"
+        jobs.write_browse_mart(self.mart, path, row_group_bytes=1 << 20)
+        return files.read_table(self.spark, path, schemas.MART)
+
     def seasonal_of(self, semantics: str) -> DataFrame:
         return self.seasonal if semantics == REFERENCE else self.seasonal_cor
 
@@ -162,6 +168,29 @@ def csv_reordered(t: Stages):
     return files.read_csv(t.spark, path, schemas.PROMOTION)
 
 
+def _faulty_load(t: Stages) -> tuple[DataFrame, str]:
+    """Promotions written as CSV with bad prices for one item and bad weeks in week 20, and loaded again."""
+    path, quarantine = t.rewritten("faulty.csv"), t.rewritten("rejected")
+    text = files.cast_to(t.promotions, schemas.as_text(schemas.PROMOTION))
+    price = F.when(F.col("item") == ITEM, F.lit("n/a")).otherwise(F.col("map_price"))
+    label = F.col("targetweek")
+    week = F.when(weeks.week_of(label) == "20", F.concat(weeks.year_of(label), F.lit("60"))).otherwise(label)
+    files.write_csv(text.withColumns({"map_price": price, "targetweek": week}), path)
+    loaded = rejects.load_csv(t.spark, path, schemas.PROMOTION, quarantine, ("targetweek", "planweek"), most_rejected=1.0)
+    return loaded, quarantine
+
+
+@query
+def csv_accepted(t: Stages):
+    return _faulty_load(t)[0]
+
+
+@query
+def csv_rejected(t: Stages):
+    rows = rejects.read_rejected(t.spark, _faulty_load(t)[1])
+    return rows.groupBy("column", "reason").agg(F.count("*").alias("n"))
+
+
 @query
 def scan_all(t: Stages):
     t.sales.createOrReplaceTempView("weekly_sales")
@@ -693,6 +722,16 @@ def item_series(t: Stages):
     return browse.item_series(t.mart, SITE, ITEM)
 
 
+@query
+def item_series_clustered(t: Stages):
+    return browse.item_series(t.browse_mart, SITE, ITEM)
+
+
+@query
+def drill_down_clustered(t: Stages):
+    return browse.drill_down(t.browse_mart, regionseg=REGION, regionseg3=SITE, productgroup=GROUP, item=ITEM)
+
+
 @query
 def item_list(t: Stages):
     return browse.item_list(t.mart)

@@ -56,8 +56,9 @@ def write_table(
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
     cluster_by: Column | None = None,
+    options: dict[str, str] | None = None,
 ) -> None:
-    """Write a parquet table.
+    """Write a parquet table; ``options`` go to the writer.
 
     With ``partition_by``, rows are first rebalanced on those columns: adaptive
     execution merges small pieces and splits an outsized value over several
@@ -70,12 +71,12 @@ def write_table(
         dealt = df.withColumn("_cluster", cluster_by).hint("rebalance", F.col("_cluster"))
         df = dealt.drop("_cluster").sortWithinPartitions(*(sort_by or []))
     if not partition_by:
-        df.write.mode(mode).parquet(path)
+        df.write.mode(mode).options(**(options or {})).parquet(path)
         return
     balanced = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if sort_by:
         balanced = balanced.sortWithinPartitions(*partition_by, *sort_by)
-    balanced.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    balanced.write.mode(mode).options(**(options or {})).partitionBy(*partition_by).parquet(path)
 
 
 def scan(spark: SparkSession, table: str) -> DataFrame:
