@@ -124,7 +124,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
     """At most ``most`` labelled (text, label) rows, one per id: the bound is on what a classifier is fitted on, nothing else."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = texts.join(F.broadcast(sampled(labelled(labels, label), most)), "doc_id")
-    return TextRows(one_per_id(rows, ["order", "doc_id", "label"], ["text"], most).select("text", "label").toArrow())
+    found = one_per_id(rows, ["order", "doc_id", "label"], ["text"], most).select("text", "label").toArrow()
+    released()
+    return TextRows(found)
 
 
 def text_chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

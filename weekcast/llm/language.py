@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, held_out, lowered, one_per_id, sampled, table, text_chunks
+from .common import free_name, held_out, lowered, one_per_id, released, sampled, table, text_chunks
 
 BITS = 15
 SIZES = (2, 3, 4)
@@ -160,7 +160,9 @@ def trained(docs: DataFrame) -> Model | None:
     picked = sampled(usable.select("doc_id").distinct(), TRAINING_ROWS)
     rows = usable.select("doc_id", "lang", "text").join(F.broadcast(picked), "doc_id")
     rows = one_per_id(rows, ["order", "doc_id"], ["lang", "text"], TRAINING_ROWS).select("text", "lang").toArrow()
-    return fit(rows)
+    model = fit(rows)
+    released()
+    return model
 
 
 def op8_language(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, labelled, one_per_id, sampled, table
+from .common import held_out, labelled, one_per_id, released, sampled, table
 
 #: Bound on the labelled rows that the rules are fitted on.
 TRAINING_ROWS = 20_000
@@ -157,7 +157,9 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model:
     rows = with_statistics(docs.join(picked.select("doc_id"), "doc_id", "left_semi")).join(picked, "doc_id")
     names = list(statistics(F.lit("")))
     rows = one_per_id(rows, ["order", "doc_id", "label"], names, TRAINING_ROWS).select(*names, "label").toPandas()
-    return fit({n: rows[n].to_numpy(float) for n in names}, rows["label"].to_numpy(float))
+    model = fit({n: rows[n].to_numpy(float) for n in names}, rows["label"].to_numpy(float))
+    released()
+    return model
 
 
 def score_quality(docs: DataFrame, model: Model) -> DataFrame:

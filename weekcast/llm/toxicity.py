@@ -117,7 +117,9 @@ def score_texts(docs: DataFrame, model: Model, column: str = "toxicity") -> Data
 
 def trained(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from at most ``TRAINING_ROWS`` labelled rows outside the held-out fold."""
-    return fit(training_rows(docs, labels, "toxic", TRAINING_ROWS))
+    model = fit(training_rows(docs, labels, "toxic", TRAINING_ROWS))
+    released()
+    return model
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
