@@ -165,13 +165,19 @@ SELECT {_K5}, yearweek, min(qty) AS qty FROM panel_rows WHERE productseg1 IS NUL
 """
 
 
-def _means(probes: str, values: str, shifts: str) -> str:
-    """Mean of the values found in the weeks that ``shifts`` leads to from each probe week."""
-    return f"""
+def _means(name: str, probes: str, values: str, shifts: str) -> None:
+    """Part with the mean of the values found in the weeks that ``shifts`` leads to from each probe week.
+
+    The weeks to look in are a part of their own, computed first: the values could
+    otherwise be joined by series before the week narrows them down.
+    """
+    _PARTS[f"{name}_targets"] = f"""
+SELECT {_of("p", K5)}, p.yearweek, s.target FROM {probes} p JOIN {shifts} s ON s.yw = p.yearweek
+"""
+    _PARTS[name] = f"""
 SELECT {_of("p", K5)}, p.yearweek, CASE WHEN count(v.qty) = 0 THEN 0.0::DOUBLE
        ELSE sum(v.qty) / count(v.qty) END AS moving_avg
-FROM {probes} p JOIN {shifts} s ON s.yw = p.yearweek
-LEFT JOIN {values} v ON {_on("p", "v", K5)} AND v.yearweek = s.target
+FROM {name}_targets p LEFT JOIN {values} v ON {_on("p", "v", K5)} AND v.yearweek = p.target
 GROUP BY ALL
 """
 
@@ -184,7 +190,7 @@ for _name, _semantics, _half in (
 ):
     _near = f"near_{_semantics}_{_half}"
     _PARTS[_near] = f"SELECT * FROM shift_{_semantics} WHERE abs(n) <= {_half}"
-    _PARTS[_name] = _means("panel_weekly", "panel_weekly", _near)
+    _means(_name, "panel_weekly", "panel_weekly", _near)
 
 for _semantics in ("reference", "corrected"):
     _PARTS[f"seasonal_{_semantics}"] = f"""
@@ -193,6 +199,15 @@ SELECT {_of("p", _PANEL.split(", "))}, m.moving_avg,
 FROM panel_rows p JOIN means_{_semantics} m
   ON {_on("p", "m", K5)} AND p.yearweek = m.yearweek
 """
+_PARTS["seasonal_weeks"] = f"SELECT {_K6}, yearweek, seasonality FROM seasonal_reference"
+_PARTS["previous_targets"] = f"""
+SELECT {_of("p", K6)}, p.yearweek, h.target FROM seasonal_weeks p
+JOIN shift_reference h ON h.yw = p.yearweek AND h.n = -1
+"""
+_PARTS["near_targets"] = f"""
+SELECT {_of("p", K5)}, p.yearweek, h.n, h.target FROM panel_weekly p
+JOIN near_reference_2 h ON h.yw = p.yearweek
+"""
 
 # Forecasts.  A forecast "f" reads the parts f_cfg (one row: half, horizon, base_back,
 # max_week), f_hist (rows that make series), and f_look (one row per series and week).
@@ -339,12 +354,16 @@ FROM valid_entries
     _PARTS[f"{f}_hist"] = f"SELECT mart.* FROM mart, {f}_cfg WHERE yearweek <= max_week"
     seen = f"{f}_hist" if corrected else "mart"
     _PARTS[f"{f}_known"] = _picked(K5, seen, "max")
+    # Averages enter the result in the trailing weeks, the forecast's weeks and, through
+    # look-ups, in weeks of the forecast's week numbers.
     _PARTS[f"{f}_probes"] = f"""
 SELECT {_K5}, yearweek FROM {f}_hist
+WHERE yearweek >= (SELECT target FROM {f}_base ORDER BY n LIMIT 1)
+   OR substr(yearweek, 5, 2) IN (SELECT wk FROM {f}_ahead)
 UNION SELECT {_K5}, yw FROM {f}_series CROSS JOIN {f}_ahead
 """
     _PARTS[f"{f}_near"] = f"SELECT s.* FROM shift_{semantics} s, {f}_cfg WHERE abs(n) <= half"
-    _PARTS[f"{f}_means"] = _means(f"{f}_probes", f"{f}_known", f"{f}_near")
+    _means(f"{f}_means", f"{f}_probes", f"{f}_known", f"{f}_near")
     if corrected and recompute:
         _PARTS[f"{f}_look"] = f"""
 SELECT {_of("v", K5)}, v.yearweek, v.qty,
@@ -416,8 +435,11 @@ def statement(final: str) -> str:
     uses = [n for sql in (final, *ordered.values()) for n in _needs(sql)]
 
     def kind(name: str) -> str:
-        # A recursive part refers to itself; one that several others name is computed once.
-        return "" if name in _needs(ordered[name]) or uses.count(name) < 2 else "MATERIALIZED "
+        # A recursive part refers to itself; one that several others name is computed once,
+        # one of look-up weeks before the join it is made for.
+        if name in _needs(ordered[name]):
+            return ""
+        return "MATERIALIZED " if uses.count(name) > 1 or name.endswith("_targets") else ""
 
     parts = ",\n".join(f"{name} AS {kind(name)}({sql})" for name, sql in ordered.items())
     return f"WITH RECURSIVE {parts}\n{final}"
@@ -497,10 +519,9 @@ ORDER BY regionseg, productgroup, salesid, regionseg3, item, yearweek""",
     "panel": f"SELECT {_PANEL} FROM panel_rows",
     "qty_lookup": f"""SELECT *, min(qty) OVER (PARTITION BY {_LINE}, yearweek) AS first_qty
 FROM lines""",
-    "seasonality_lookup": f"""SELECT {_of("p", K6)}, p.yearweek, h.target AS previous_week,
-q.seasonality AS previous_seasonality FROM seasonal_reference p
-JOIN shift_reference h ON h.yw = p.yearweek AND h.n = -1
-LEFT JOIN seasonal_reference q ON {_on("p", "q", K6)} AND q.yearweek = h.target""",
+    "seasonality_lookup": f"""SELECT {_of("p", K6)}, p.yearweek, p.target AS previous_week,
+q.seasonality AS previous_seasonality FROM previous_targets p
+LEFT JOIN seasonal_weeks q ON {_on("p", "q", K6)} AND q.yearweek = p.target""",
     "dedupe_first": _first_line("min"),
     "dedupe_last": _first_line("max"),
     "max_year_week": "SELECT max(yearweek) AS max_year_week FROM sales",
@@ -508,9 +529,8 @@ LEFT JOIN seasonal_reference q ON {_on("p", "q", K6)} AND q.yearweek = h.target"
     "moving_avg_cor": _means_query("means_corrected"),
     "moving_avg_w4": _means_query("means_w4"),
     "moving_avg_w7": _means_query("means_w7"),
-    "shifted_join": f"""SELECT {_of("p", K5)}, p.yearweek, h.n AS "offset", h.target AS met_week,
-v.qty AS met_value FROM panel_weekly p JOIN shift_reference h ON h.yw = p.yearweek AND abs(h.n) <= 2
-JOIN panel_weekly v ON {_on("p", "v", K5)} AND v.yearweek = h.target""",
+    "shifted_join": f"""SELECT {_of("p", K5)}, p.yearweek, p.n AS "offset", p.target AS met_week,
+v.qty AS met_value FROM near_targets p JOIN panel_weekly v ON {_on("p", "v", K5)} AND v.yearweek = p.target""",
     "seasonality_ref": "SELECT * FROM seasonal_reference",
     "seasonality_cor": "SELECT * FROM seasonal_corrected",
     "drop_inactive": "SELECT * FROM active_reference",
