@@ -1,8 +1,11 @@
 """Quality, toxicity and language: held-out accuracy, and the models against plain versions of themselves."""
 
+import functools
 import math
 import os
+import re
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -77,6 +80,88 @@ def test_ftrl_learns_words_and_stays_sparse(spark):
     assert toxicity.fit([]).intercept == -math.inf
 
 
+LOWER = {c: c + 32 for c in [*range(0x41, 0x5B), *range(0xC0, 0xDF)] if c != 0xD7}
+
+
+@functools.cache
+def place_of(words):
+    """Where a feature is hashed to, from a text that holds nothing else; ``None`` stands for the word between."""
+    data = " ".join(w or "x" for w in words).encode()
+    return int(toxicity.features(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[1][-1])
+
+
+def word_features(text):
+    """Places of distinct words, pairs of neighbours and pairs with one word between."""
+    words = re.findall("[A-Za-z\\u0080-\U0010ffff]+", text.translate(LOWER))
+    found = {(w,) for w in words} | set(zip(words, words[1:])) | {(a, None, b) for a, b in zip(words, words[2:])}
+    return {place_of(f) for f in found}
+
+
+def plain_ftrl(rows, alpha=3.0, beta=1.0, l1=6.0, l2=0.1, passes=8, least=4):
+    """Weight of each feature, number by number; the intercept has the place -1."""
+    counts = Counter(f for text, _ in rows for f in word_features(text))
+    examples = [([*(f for f in word_features(text) if counts[f] >= least), -1], label) for text, label in rows]
+    z, n, rng = defaultdict(float), defaultdict(float), np.random.default_rng(7)
+
+    def weight(f):
+        bound = l1 if f >= 0 else 0.0
+        return 0.0 if abs(z[f]) <= bound else -(z[f] - math.copysign(bound, z[f])) / ((beta + math.sqrt(n[f])) / alpha + l2)
+
+    for _ in range(passes):
+        for k in rng.permutation(len(examples)):
+            found, label = examples[k]
+            weights = {f: weight(f) for f in found}
+            gradient = 1 / (1 + math.exp(-max(-35.0, min(35.0, math.fsum(weights.values()))))) - label
+            for f, w in weights.items():
+                z[f] += gradient - (math.sqrt(n[f] + gradient**2) - math.sqrt(n[f])) / alpha * w
+                n[f] += gradient**2
+    return {f: weight(f) for f in z}
+
+
+def test_toxicity_query_against_a_plain_version(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = list(common.training_rows(docs, labels, "toxic", toxicity.TRAINING_ROWS))
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    learned = sorted((t, toxic[i]) for i, t in texts.items() if toxic.get(i) in (0, 1) and zlib.crc32(str(i).encode()) % 5)
+    assert sorted(rows) == learned
+    weights = plain_ftrl(rows)
+    assert any(w for f, w in weights.items() if f >= 0)
+    for r in QUERIES["op10_toxicity"](spark, sf).collect():
+        total = weights[-1] + math.fsum(weights.get(f, 0.0) for f in word_features(texts[r.doc_id]))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-5), r.doc_id
+
+
+def plain_language(text, model):
+    """Prediction from every n-gram of a text, one after another."""
+    data = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in text.translate(LOWER).encode())
+    total, grams = np.zeros(len(model.languages)), 0
+    for n in language.SIZES:
+        for i in range(len(data) - n + 1):
+            value = n
+            for b in data[i : i + n]:
+                value = (value * 0x01000193 % 2**32) ^ b
+            total += model.scores[:, (value * 0x9E3779B1 % 2**32) >> (32 - language.BITS)]
+            grams += 1
+    logits = (total / max(grams, 1) + model.bias) / model.temperature
+    chances = np.exp(logits - logits.max())
+    chances /= chances.sum()
+    return model.languages[int(chances.argmax())], float(chances.max())
+
+
+def test_language_query_against_a_plain_version(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model, texts = language.trained(docs), {r.doc_id: r.text for r in docs.collect()}
+    got = QUERIES["op8_language"](spark, sf).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        text = texts[r.doc_id]
+        expected = plain_language(text, model) if text and any(c.isalpha() for c in text) else ("und", 0.0)
+        assert r.lang_pred == expected[0] and r.score == pytest.approx(expected[1], abs=1e-6), r.doc_id
+
+
 def test_scores_of_odd_rows(spark, odd, nothing, small):
     model = toxicity.fit([("a b", 0), ("c d", 1)] * 5)
     out = toxicity.score_texts(odd, model, "_toxicity")
