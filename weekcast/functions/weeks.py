@@ -86,6 +86,11 @@ def label_of_index(index: Column) -> Column:
     return date_year_week(_monday(index))
 
 
+def year_of_index(index: Column) -> Column:
+    """ISO year of a week index: the year its Thursday lies in."""
+    return F.year(F.date_add(_monday(index), 3))
+
+
 def shift_week(yearweek: Column, weeks: int | Column, semantics: str = REFERENCE) -> Column:
     """Shift a label by a number of weeks.
 

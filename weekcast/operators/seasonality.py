@@ -9,10 +9,10 @@ from weekcast.config import REFERENCE, check_semantics
 from weekcast.functions.numbers import safe_div
 from weekcast.functions.weeks import (
     first_week_index,
-    label_of_index,
     week_index,
     week_number,
     year_number,
+    year_of_index,
 )
 from weekcast.operators.keyed import match_null_safe
 from weekcast.sources.schemas import PANEL, PANEL_KEY, SERIES_KEY, name_of, named_as
@@ -62,27 +62,37 @@ def weekly_moving_average(
     spec = Window.partitionBy(*keys).orderBy("week_idx")
     indexed = weekly.withColumn("week_idx", week_index(F.col("yearweek")))
 
-    def totals(value: Column, first: int, last: int) -> tuple[Column, Column]:
+    # Every value over the window is a column of its own: one that is used twice in an expression is computed twice.
+    def totals(total: str, hits: str, value: str, first: int, last: int) -> dict[str, Column]:
         frame = spec.rangeBetween(first, last)
-        return F.coalesce(F.sum(value).over(frame), F.lit(0.0)), F.count(value).over(frame)
+        return {total: F.sum(value).over(frame), hits: F.count(value).over(frame)}
 
+    some = [("_total", "_hits")]
     if semantics != REFERENCE or half == 0:
-        total, hits = totals(F.col("qty"), -half, half)
+        indexed = indexed.withColumns(totals("_total", "_hits", "qty", -half, half))
+        single = range(0)
     else:
-        total, hits = totals(F.col("qty"), 0, half)
         # Weeks 53 of earlier years are never met: the shift back over new year steps over them.
         past = F.when(week_number(F.col("yearweek")) != 53, F.col("qty"))
-        reach = F.col("_reach")
-        indexed = indexed.withColumn("_reach", _reference_reach(half))
-        back, seen = F.lit(0.0), F.lit(0).cast("bigint")
+        indexed = indexed.withColumns({"_reach": _reference_reach(half), "_past": past})
+        columns = totals("_total", "_hits", "qty", 0, half)
         slack = half // 52 + 2
-        for distance in range(max(1, half - slack), half + slack + 1):
-            some, count = totals(past, -distance, -1)
-            back = F.when(reach == distance, some).otherwise(back)
-            seen = F.when(reach == distance, count).otherwise(seen)
-        total, hits = total + back, hits + seen
-    averaged = indexed.withColumns({"_total": total, "_hits": hits})
-    return averaged.select(*keys, "yearweek", "qty", safe_div(F.col("_total"), F.col("_hits")).alias("moving_avg"))
+        always = max(0, half - slack)
+        if always:
+            columns |= totals("_back", "_seen", "_past", -always, -1)
+            some.append(("_back", "_seen"))
+        # Beyond the weeks that every reach covers, single weeks join one by one.
+        single = range(always + 1, half + slack + 1)
+        columns |= {f"_at{d}": F.max("_past").over(spec.rangeBetween(-d, -d)) for d in single}
+        indexed = indexed.withColumns(columns)
+    total, hits = F.lit(0.0), F.lit(0).cast("bigint")
+    for value, count in some:
+        total, hits = total + F.coalesce(value, F.lit(0.0)), hits + F.col(count)
+    for d in single:
+        met = F.when(F.col("_reach") >= d, F.col(f"_at{d}"))
+        total, hits = total + F.coalesce(met, F.lit(0.0)), hits + met.isNotNull().cast("bigint")
+    averaged = indexed.withColumns({"_sum": total, "_count": hits})
+    return averaged.select(*keys, "yearweek", "qty", safe_div(F.col("_sum"), F.col("_count")).alias("moving_avg"))
 
 
 def _reference_reach(half: int) -> Column:
@@ -92,14 +102,12 @@ def _reference_reach(half: int) -> Column:
     the year it leaves and takes one off the year: the week met last lies one week nearer or farther
     for each new year between years of different length.
     """
-    year, week = year_number(F.col("yearweek")), week_number(F.col("yearweek"))
-    within = week - F.lit(half)
-    landing = label_of_index(first_week_index(year + F.lit(1)) + within - F.lit(1))
-    met_year, met_week = year_number(landing) - F.lit(1), week_number(landing)
-    # Week 53 of a year has no counterpart in the one before; the step before it met week 1 of the next.
-    farthest = F.when(met_week == 53, first_week_index(met_year + F.lit(1))).otherwise(
-        first_week_index(met_year) + met_week - F.lit(1)
-    )
+    year, within = year_number(F.col("yearweek")), week_number(F.col("yearweek")) - F.lit(half)
+    landing = first_week_index(year + F.lit(1)) + within - F.lit(1)
+    later = year_of_index(landing)
+    # The landing's week number counted in the year before its own; week 53 of that may be week 1 of the next year, which
+    # is where the step before it met too.
+    farthest = first_week_index(later - F.lit(1)) + landing - first_week_index(later)
     return F.when(within > 0, F.lit(half)).otherwise(F.col("week_idx") - farthest)
 
 
