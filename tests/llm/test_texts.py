@@ -205,6 +205,46 @@ def test_tokens_of_random_unicode():
             assert np.frombuffer(encoder.encode(text), "<u4").tolist() == found.ids, text
 
 
+class Recorder:
+    def __init__(self, inner):
+        self.inner, self.seen = inner, []
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+    def encode(self, text, **settings):
+        self.seen += text.split()
+        return self.inner.encode(text, **settings)
+
+
+def test_new_words_pass_the_patterns_by():
+    encoder = packing.ChunkEncoder(packing.default_tokenizer())
+    tokenizer = encoder.tokenizer
+    encoder.tokenizer = Recorder(tokenizer)
+    text = "Word, größer word\nWÖRTER... ñandú!! İç 42 don't Ωmega ªb. Įą; <|endoftext|>x"
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(encoder.tokenizer.seen) == sorted([",", "...", "!!", "İç", "42", "don't", "Ωmega", ".", ";", "<|endoftext|>x"])
+
+
+def test_tokens_of_many_texts(tmp_path):
+    import json
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    with open(packing.default_tokenizer()) as f:
+        plain = json.load(f)
+    plain["normalizer"] = {"type": "Sequence", "normalizers": [{"type": "NFD"}, {"type": "StripAccents"}, {"type": "Lowercase"}]}
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(plain))
+    texts = ["left out", "", "Élan vital, größer", "\n \n", "Élan\nélan élan,  vital", "a" * 5000, "word " * 3000]
+    for path in (packing.default_tokenizer(), str(other)):
+        tokenizer, encoder = Tokenizer.from_file(path), packing.ChunkEncoder(path)
+        for _ in range(2):
+            found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_all(pa.array(texts)[1:])]
+            assert found == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts[1:]]
+
+
 def plain_sum_of_squares(lengths, capacity):
     gaps, count = [], 0
     for s in sorted(lengths, reverse=True):

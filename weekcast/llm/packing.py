@@ -11,15 +11,18 @@ once each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_arrow, released, table, written
+from .common import as_arrow, released, table, text_chunks, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -48,20 +51,33 @@ class ChunkEncoder:
 
     #: Punctuation that no contraction and no special token ends with.
     TAIL = ",.!*%&#$?:;"
+    #: Letters below U+0130 stay single letters when lowered and normalised, the same in Python and the tokenizer.
+    plain_word = re.compile(f"([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([{re.escape(TAIL)}]*)").fullmatch
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self.letters: dict[str, bool] = {}
+        # The same model for words already lowered, without the patterns that find them.
+        self.words = Tokenizer(self.tokenizer.model)
+        steps = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        self.words.pre_tokenizer = pre_tokenizers.Sequence(steps)
+        vocabulary = self.words.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        letters = [x.lower() for x in map(chr, range(0x130)) if self.plain_word(x)]
+        probe = " ".join(f"{x}a{x}" for x in letters)
+        both = [t.encode(probe, add_special_tokens=False).ids for t in (self.words, self.tokenizer)]
+        # A tokenizer that changes such letters in other ways gets every word through its patterns.
+        self.has_words = both[0] == both[1]
 
     def split(self, chunk: str) -> tuple[str, str]:
         word = chunk.rstrip(self.TAIL)
         if not word.isalpha() or not self.stays_letter(word[-1]):
             return chunk, ""
-        return word.lower() if max(word) < "\u0130" else word, chunk[len(word) :]
+        return word, chunk[len(word) :]
 
     def stays_letter(self, letter: str) -> bool:
         """Whether a letter, lowered and normalised, ends in one; a mark would join the punctuation behind it."""
@@ -70,32 +86,76 @@ class ChunkEncoder:
             known = self.letters[letter] = self.tokenizer.normalizer.normalize_str(letter)[-1:].isalpha()
         return known
 
-    def learn(self, chunks: list[str]) -> None:
-        if len(self.chunks) + len(self.parts) > REMEMBERED:
-            self.chunks.clear()
-            self.parts.clear()
-        split = [self.split(x) for x in chunks]
-        parts = self.parts
-        missing = list(dict.fromkeys(p for pair in split for p in pair if p not in parts))
-        # One text of all new parts, cut again where its tokens begin: a call for each part costs three times as much.
-        found = self.tokenizer.encode(" ".join(missing), add_special_tokens=False)
+    def learn_words(self, words: list[str]) -> None:
+        """Lowered plain words, in one text: the last token of each tells where it ends."""
+        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+        if len(cuts) != len(words):
+            return self.learn_others(words)
+        ids, low = ids.tobytes(), 0
+        for word, high in zip(words, cuts.tolist()):
+            self.known[word] = ids[low:high]
+            low = high
+
+    def learn_others(self, parts: list[str]) -> None:
+        """Any other parts, in one text that is cut again where its tokens begin: a call for each part costs three times as much."""
+        found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
         ids = np.array(found.ids, "<u4").tobytes()
         begins = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
-        lengths = np.array([len(p) + 1 for p in missing], np.int64)
+        lengths = np.array([len(p) + 1 for p in parts], np.int64)
         cuts = (4 * np.searchsorted(begins, np.cumsum(lengths))).tolist()
-        for part, low, high in zip(missing, [0, *cuts], cuts):
-            parts[part] = ids[low:high]
-        for chunk, (word, tail) in zip(chunks, split):
-            self.chunks[chunk] = parts[word] + parts[tail] if tail else parts[word]
+        for part, low, high in zip(parts, [0, *cuts], cuts):
+            self.known[part] = ids[low:high]
 
-    def encode(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        missing = set(chunks).difference(self.chunks)
+    def learn(self, chunks: list[str]) -> None:
+        """A part of a chunk is a chunk as well, with the same ids: one dictionary holds both."""
+        known, composed = self.known, []
+        words: dict[str, None] = {}
+        others: dict[str, None] = {}
+        for chunk in chunks:
+            match = self.plain_word(chunk)
+            if match:
+                word, tail = match.groups()
+                word = word.lower()
+                if word not in known:
+                    words[word] = None
+            else:
+                word, tail = self.split(chunk)
+                if word not in known:
+                    others[word] = None
+            if tail and tail not in known:
+                others[tail] = None
+            if word != chunk:
+                composed.append((chunk, word, tail))
+        if words and not self.has_words:
+            others |= words
+        elif words:
+            self.learn_words(list(words))
+        if others:
+            self.learn_others(list(others))
+        for chunk, word, tail in composed:
+            known[chunk] = known[word] + known[tail] if tail else known[word]
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text; each distinct chunk is looked up once."""
+        chunks = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        counts = pc.list_value_length(chunks).to_numpy()
+        coded = chunks.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, distinct))
+        missing = [chunk for chunk, ids in zip(distinct, found) if ids is None]
         if missing:
-            if len(self.chunks) + len(self.parts) > REMEMBERED:
-                missing = set(chunks)
-            self.learn(list(missing))
-        return b"".join(map(self.chunks.__getitem__, chunks))
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+                missing = distinct
+            self.learn(missing)
+            found = list(map(self.known.__getitem__, distinct))
+        ids = map(found.__getitem__, coded.indices.to_numpy().tolist())
+        for count in counts.tolist():
+            yield b"".join(islice(ids, count))
+
+    def encode(self, text: str) -> bytes:
+        return next(self.encode_all(pa.array([text])))
 
 
 _encoders: dict[str, ChunkEncoder] = {}
@@ -110,15 +170,17 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if tokenizer not in _encoders:
             _encoders[tokenizer] = ChunkEncoder(tokenizer)
-        encode, end, size = _encoders[tokenizer].encode, np.uint32(END_ID).astype("<u4").tobytes(), 4 * capacity
+        encode_all, end, size = _encoders[tokenizer].encode_all, np.uint32(END_ID).astype("<u4").tobytes(), 4 * capacity
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids, doc_id = encode(text.as_py() or "") + end, doc_id.as_py()
-                for k in range(0, len(ids), size):
-                    piece = ids[k : k + size]
-                    out.append((doc_id, k // size, k // 4, len(piece) // 4, zlib.crc32(piece)))
-            yield as_arrow(PIECE, dict(zip([x.split()[0] for x in PIECE.split(", ")], zip(*out) if out else [[]] * 5)))
+            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").fill_null("")
+            for low, high, _, _ in text_chunks(batch):
+                out = []
+                for doc_id, ids in zip(doc_ids[low:high], encode_all(texts[low:high])):
+                    ids += end
+                    for k in range(0, len(ids), size):
+                        piece = ids[k : k + size]
+                        out.append((doc_id, k // size, k // 4, len(piece) // 4, zlib.crc32(piece)))
+                yield as_arrow(PIECE, dict(zip([x.split()[0] for x in PIECE.split(", ")], zip(*out) if out else [[]] * 5)))
         released()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECE)
