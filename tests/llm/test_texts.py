@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from weekcast.llm import chat, packing, secrets, suffix
 from weekcast.llm.common import SpanHash, shingles, words
@@ -318,6 +319,40 @@ def test_repeats_against_brute_force(spark, small, odd):
     assert got == sorted(plain_repeats([tuple(r) for r in docs.collect()], 400), key=key)
 
 
+def test_copies_of_a_block_come_from_many_tasks(spark, monkeypatch):
+    """Many copies of one text beside a variant of it: their blocks are joined in the order of the texts, and the hot key is cut."""
+    tight = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in tight}
+    seen, write = {}, suffix.written
+    monkeypatch.setattr(suffix, "written", lambda df, name: write(seen.setdefault(name, df), name))
+    rng = random.Random(5)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(700))
+    docs = spark.range(0, 8000, 1, 24).selectExpr("id AS doc_id", f"'{text}' AS text")
+    docs = docs.unionByName(spark.createDataFrame([(9000, text[:450] + "xyz"), (9001, "own " + text[250:])], "doc_id long, text string"))
+    try:
+        for key, value in tight.items():
+            spark.conf.set(key, value)
+        result = suffix.remove_repeats(docs)
+        tasks = seen["equal"].groupBy(F.spark_partition_id().alias("task")).agg(F.count("row").alias("n"), F.max("row"))
+        counts = sorted(r.n for r in tasks.collect())
+        assert sum(counts) >= 8000 and counts[-1] <= sum(counts) / 4, counts
+        plan = tasks._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        removed = {(r.doc_id < 9000, r.n_bytes, r.n_removed) for r in result.collect()}
+        assert removed == {(True, 700, 700), (False, 453, 450), (False, 454, 450)}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
 def test_repeats_of_odd_rows(spark, odd, nothing):
     rows = suffix.remove_repeats(odd).collect()
     assert len(rows) == odd.count() and {r.doc_id: r.n_removed for r in rows}[5] == 150_000
