@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from weekcast.llm import decontamination, graph, jaccard, packing, secrets, toxicity, vectors
-from weekcast.llm.common import written
+from weekcast.llm.common import CLEANUP, written
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -90,6 +91,83 @@ def test_jaccard_join_against_brute_force(spark, small, odd, k, percent):
     assert kept.count() == found.where("component_id IS NOT NULL AND n_shingles > 0").select("component_id").distinct().count()
 
 
+def test_jaccard_join_in_many_pieces(spark, monkeypatch):
+    """A family that is cut into many blocks has the links of the whole, copies and repeated rows included."""
+    monkeypatch.setattr(jaccard, "PIECE", 5)
+    monkeypatch.setattr(jaccard, "BLOCK", 2)
+    rng = random.Random(11)
+    long = [f"w{rng.randrange(400)}" for _ in range(120)]
+    rows = [(n, edited(rng, long, rng.randrange(6))) for n in range(90)]
+    rows += [(200 + n, " ".join(long[n // 2 :])) for n in range(40)] + rows[:7] + [(300 + n, t) for n, t in rows[:9]] + [(None, rows[0][1]), (400, "alone in here")]
+    found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 90)
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    got = sorted([tuple(r) for r in found.select("doc_id", "n_shingles", "component_id", "n_links").collect()], key=key)
+    assert got == sorted(plain_jaccard(rows, 3, 90), key=key)
+
+
+def test_large_families_travel_packed(spark, monkeypatch):
+    """What is dealt out to compare a family of near copies takes less than their token sets, not a copy for each hundred members."""
+    rng = random.Random(12)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(250)]
+    docs = spark.createDataFrame([(n, edited(rng, long, 1 + n % 3)) for n in range(900)], "doc_id long, text string").repartition(4)
+    dealt, plain = [], jaccard.cell_links
+
+    def measured(cells, percent):
+        binary = [c for c, kind in cells.dtypes if kind == "binary"]
+        dealt.append(cells.agg(F.sum(sum(F.octet_length(c) for c in binary)), F.count("*")).first())
+        return plain(cells, percent)
+
+    monkeypatch.setattr(jaccard, "cell_links", measured)
+    found = jaccard.jaccard_components(docs, 3, 90).collect()
+    assert len(found) == 900 and {r.component_id for r in found} == {0}
+    assert 0 < dealt[0][0] < 0.5 * sum(8 * r.n_shingles for r in found) and dealt[0][1] < 100
+
+
+def test_linked_blocks_as_plain_pairs():
+    """Both ways to count shared tokens, by pairs and by matrices, and the roots of long chains."""
+    rng = np.random.default_rng(4)
+    for trial in range(60):
+        count, size = int(rng.integers(2, 120)), int(rng.integers(5, 60))
+        base = rng.integers(0, 2**63, size, dtype=np.uint64)
+        pool, members = rng.integers(0, 2**63, 40, dtype=np.uint64), []
+        for n in range(count):
+            tokens = base[n % 7 :].copy() if trial % 2 else np.arange(n, n + 30, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            tokens[: rng.integers(0, 3)] = pool[rng.integers(0, 38)]
+            tokens = np.unique(tokens)
+            members.append((n * 7919 % 1009, len(tokens), int(rng.integers(1, 4)), tokens))
+        cut = int(rng.integers(1, count))
+        for left, right in ((members, None), (members[:cut], members[cut:])):
+            every = left + (right or [])
+            sides = [0] * len(left) + [1] * len(right or [])
+            pairs = []
+            for a in range(len(every)):
+                for b in range(a):
+                    both = len(set(every[a][3].tolist()) & set(every[b][3].tolist()))
+                    if (right is None or sides[a] != sides[b]) and 100 * both >= 90 * (every[a][1] + every[b][1] - both):
+                        pairs.append((a, b))
+            links, roots = Counter(), roots_of(len(every), pairs)
+            for a, b in pairs:
+                links[a] += every[b][2]
+                links[b] += every[a][2]
+            assert sorted(jaccard.linked(left, right, 90)) == sorted((every[a][0], every[roots[a]][0], links[a]) for a in links)
+        again = jaccard.unpacked(jaccard.packed(members))
+        assert [m[:3] for m in again] == [m[:3] for m in members] and all((x[3] == y[3]).all() for x, y in zip(again, members))
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    blocks = lambda: {b.name() for b in map(disk.getAllBlocks().apply, range(disk.getAllBlocks().size())) if b.name().startswith("shuffle_")}
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before, kept = blocks(), spark.conf.get(CLEANUP, None)
+    left = spark.range(20_000).select((F.col("id") % 1013).alias("k"), "id").repartition(5, "k")
+    out = written(left.groupBy("id").agg(F.count("*").alias("n")), "counts")
+    for _ in range(50):
+        if not blocks() - before:
+            break
+        time.sleep(0.1)
+    assert not blocks() - before
+    assert out.count() == 20_000 and left.count() == 20_000 and spark.conf.get(CLEANUP, None) == kept
+
+
 def test_pair_signatures_meet():
     """Sets that link share a signature, whatever the frequencies."""
     rng = np.random.default_rng(3)

@@ -10,8 +10,9 @@
    To keep the counting small, tokens are taken from a fixed part of the hash space first, a part that depends on the size
    of the set by powers of two; a class near the lower end of its power joins both.  A set with too few tokens there
    uses all its tokens, the others last.
-3. Classes connected by signatures form families.  All pairs of a family are compared exactly inside tasks, in
-   blocks of ``BLOCK`` classes; only sums and a spanning forest of the links leave a task.
+3. Classes connected by signatures form families.  All pairs of a family are compared exactly inside tasks: families of
+   up to ``PIECE`` classes at once; larger ones are packed into pieces, ``BLOCK`` pieces make a block, and a task compares two
+   blocks.  Only the packed pieces, sums and a spanning forest of the links leave a task.
 4. Components of the links.
 
 Defined results: rows with a null id link with nothing and have a null component, but ``drop_near_duplicates``
@@ -35,12 +36,14 @@ from .common import U64, as_arrow, free_name, mix, released, shingles, slices, t
 from .graph import components, joined_split
 
 FREQUENT = 16
-BLOCK = 96
+#: Classes of a piece, and tokens; pieces of a block.
+PIECE, PIECE_TOKENS, BLOCK = 64, 1 << 15, 16
 
 SETS = "row long, doc_id long, n long, key long, main boolean, tokens array<long>"
 SIGNATURES = "sig long, key long"
-MEMBER = "family long, block int, blocks int, key long, n long, copies long, tokens binary"
+MEMBER = "family long, piece int, pieces int, key long, n long, copies long, tokens binary"
 LINKS = "key long, root long, links long"
+PIECES = f"{LINKS}, family long, piece int, pieces int, size long, packed binary"
 
 
 def counted_share(scale: int, percent: int) -> float:
@@ -172,20 +175,33 @@ def compare(left: list, right: list | None, percent: int) -> np.ndarray:
     """Which pairs link, as a matrix; members are (key, n, copies, tokens); without ``right`` within ``left``."""
     members = left + (right or [])
     sizes = np.array([m[1] for m in members])
+    rows, cols = slice(0, len(left)), slice(len(left) if right else 0, len(members))
+    common = np.zeros((len(left), len(right or left)))
     flat = np.concatenate([m[3] for m in members])
-    _, column, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(members)), [len(m[3]) for m in members])
-    place = np.cumsum(counts > 1) - 1
-    kept = counts[column] > 1
-    owner, column = owner[kept], place[column[kept]]
-    rows, cols = np.arange(len(left)), np.arange(len(left), len(members)) if right else np.arange(len(left))
-    common = np.zeros((len(rows), len(cols)))
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    width = max(1, int(place[-1]) + 1) if len(place) else 1
-    for at in range(0, width, 4096):
-        low, high = np.searchsorted(column, [at, at + 4096])
-        dense = np.zeros((len(members), min(4096, width - at)), np.float32)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], np.repeat(np.arange(len(members)), [len(m[3]) for m in members])[order]
+    starts = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+    counts = np.diff(starts, append=len(flat))
+    # A token of few members counts for each pair of them, one of many in a product of matrices.
+    few = int(common.size**0.5) // 8
+    for count in range(2, few + 1):
+        first, second = np.triu_indices(count, 1)
+        begins = starts[counts == count]
+        for at in range(0, len(begins), step := max(1, (1 << 20) // len(first))):
+            own = owner[begins[at : at + step, None] + np.arange(count)]
+            a, b = own[:, first].ravel(), own[:, second].ravel() - cols.start
+            if right:
+                across = (a < len(left)) & (b >= 0)
+                a, b = a[across], b[across]
+            np.add.at(common.ravel(), a * common.shape[1] + b, 1)
+    if not right:
+        common += common.T
+    many = counts > max(few, 1)
+    kept = np.repeat(many, counts)
+    owner, column = owner[kept], np.repeat(np.arange(np.count_nonzero(many)), counts[many])
+    for at in range(0, np.count_nonzero(many), step := max(64, (1 << 22) // len(members))):
+        low, high = np.searchsorted(column, [at, at + step])
+        dense = np.zeros((len(members), min(step, np.count_nonzero(many) - at)), np.float32)
         dense[owner[low:high], column[low:high] - at] = 1
         common += dense[rows] @ dense[cols].T
     return 100 * common >= percent * (sizes[rows][:, None] + sizes[cols][None, :] - common)
@@ -194,50 +210,71 @@ def compare(left: list, right: list | None, percent: int) -> np.ndarray:
 def linked(left: list, right: list | None, percent: int) -> list[tuple[int, int, int]]:
     """(key, root in this cell, links) of each member with a link here."""
     match = compare(left, right, percent)
-    if right:
-        members, n = left + right, len(left) + len(right)
-        whole = np.zeros((n, n), bool)
-        whole[: len(left), len(left) :] = match
-        match = whole | whole.T
-    else:
-        members, n = left, len(left)
-        match[np.arange(n), np.arange(n)] = False
+    members, n = left + (right or []), len(left) + len(right or [])
+    if not right:
+        np.fill_diagonal(match, False)
     if not match.any():
         return []
     copies = np.array([m[2] for m in members])
-    links, labels = match @ copies, np.arange(n)
+    links = np.concatenate([match @ copies[len(left) :], copies[: len(left)] @ match]) if right else match @ copies
+    labels = np.arange(n, dtype=np.int32)
     while True:
-        new = np.minimum(labels, np.where(match, labels[None, :], n).min(axis=1))
+        least = np.where(match, labels[None, len(left) if right else 0 :], n).min(axis=1)
+        if right:
+            least = np.concatenate([least, np.where(match, labels[: len(left), None], n).min(axis=0)])
+        new = np.minimum(labels, least)
+        # The root takes the smaller label as well, and what hangs on it follows.
+        np.minimum.at(new, labels, new.copy())
+        while (new[new] != new).any():
+            new = new[new]
         if (new == labels).all():
             break
         labels = new
     return [(members[i][0], members[labels[i]][0], int(links[i])) for i in np.flatnonzero(links)]
 
 
-def cell_links(cells: DataFrame, percent: int) -> DataFrame:
-    """Links within each cell; rows of a cell follow one another."""
+def packed(members: list) -> np.ndarray:
+    """Members as one array of 64-bit numbers."""
+    head = [len(members), *(m[k] for k in range(3) for m in members)]
+    return np.concatenate([np.array(head, np.int64).view(np.uint64), *(m[3] for m in members)])
+
+
+def unpacked(values: np.ndarray) -> list:
+    count = int(values[0])
+    keys, sizes, copies = values[1 : 1 + 3 * count].view(np.int64).reshape(3, count)
+    tokens = np.split(values[1 + 3 * count :], np.cumsum(sizes)[:-1])
+    return list(zip(keys.tolist(), sizes.tolist(), copies.tolist(), tokens))
+
+
+def piece_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links of each family of one piece; of larger ones the pieces, packed; rows of a piece follow one another.
+
+    Near copies repeat one another's tokens, so that a packed piece takes a fraction of its members' bytes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, sides, out = None, ({}, {}), []
+        current, found, out = None, {}, []
 
         def close():
             if current is not None:
-                left, right = (list(x.values()) for x in sides)
-                diagonal = current[1] == current[2]
-                if len(left) > 1 if diagonal else left and right:
-                    out.extend(linked(left, None if diagonal else right, percent))
+                whole = list(found.values())
+                if current[2] > 1:
+                    values = packed(whole)
+                    out.append((None, None, None, *current, values.nbytes, pa.compress(values.tobytes(), codec="zstd", asbytes=True)))
+                elif len(whole) > 1:
+                    out.extend((*x, None, None, None, None, None) for x in linked(whole, None, percent))
 
         def flush():
-            columns = zip(*out) if out else [[]] * 3
-            return as_arrow(LINKS, dict(zip(("key", "root", "links"), columns)))
+            names = [x.split()[0] for x in PIECES.split(", ")]
+            return as_arrow(PIECES, dict(zip(names, zip(*out) if out else [[]] * len(names))))
 
         for batch in slices(batches):
-            for family, low, high, block, key, n, copies, tokens in zip(*(batch.column(c).to_pylist() for c in ("family", "low", "high", "block", "key", "n", "copies", "tokens"))):
-                if current != (family, low, high):
+            for family, piece, pieces, key, n, copies, tokens in zip(*(batch.column(c).to_pylist() for c in ("family", "piece", "pieces", "key", "n", "copies", "tokens"))):
+                if current != (family, piece, pieces):
                     close()
-                    current, sides = (family, low, high), ({}, {})
+                    current, found = (family, piece, pieces), {}
                 # By class: an id that comes with the same text twice brings it twice.
-                sides[block != low][key] = (key, n, copies, np.frombuffer(tokens, np.uint64))
+                found[key] = (key, n, copies, np.frombuffer(tokens, np.uint64))
             if out:
                 yield flush()
                 out.clear()
@@ -245,6 +282,40 @@ def cell_links(cells: DataFrame, percent: int) -> DataFrame:
         yield flush()
         released()
 
+    return members.mapInArrow(run, PIECES)
+
+
+def cell_links(cells: DataFrame, percent: int) -> DataFrame:
+    """Links within each cell, two blocks of packed pieces; rows of a cell follow one another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, sides, out = None, ([], []), []
+
+        def close():
+            if current is not None:
+                left, right = sides
+                diagonal = current[1] == current[2]
+                if len(left) > 1 if diagonal else left and right:
+                    out.extend(linked(left, None if diagonal else right, percent))
+
+        def flush():
+            columns = zip(*out) if out else [[]] * 3
+            return as_arrow(LINKS, dict(zip(("key", "root", "links"), columns)))
+
+        for batch in slices(batches, 1):
+            family, low, high, block, size, data = (batch.column(c)[0] for c in ("family", "low", "high", "block", "size", "packed"))
+            cell = family.as_py(), low.as_py(), high.as_py()
+            if current != cell:
+                close()
+                current, sides = cell, ([], [])
+                if out:
+                    yield flush()
+                    out.clear()
+            sides[block.as_py() != cell[1]].extend(unpacked(np.frombuffer(pa.decompress(data.as_buffer(), size.as_py(), codec="zstd"), np.uint64)))
+        close()
+        yield flush()
+        released()
+
     return cells.mapInArrow(run, LINKS)
 
 
@@ -288,16 +359,19 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, no_ids: b
     classes = every.where(F.col("key").isNotNull() & ~alone).groupBy("key", "n").agg(first, F.count("*").alias("copies"))
     classes = written(classes.select("key", "n", "first", "first.row", "copies"), "classes")
     family = written(families(found, percent), "families")
-    sizes = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = joined_split(family, sizes, "family").join(classes.drop("first"), "key")
-    members = members.withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    members = family.join(classes.drop("first"), "key")
+    sizes = members.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / PIECE, F.sum("n") / PIECE_TOKENS)).cast("int").alias("pieces"))
+    members = joined_split(members, sizes, "family").withColumn("piece", F.pmod(F.xxhash64("key"), "pieces").cast("int"))
     # A class's representative is one id and text, but these may come in several rows.
     whole = member_sets(joined_split(docs.select("row", "text"), members, "row"), k)
-    cells = whole.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "n", "copies", "tokens"
-    )
+    pieces = whole.repartition("family", "piece").sortWithinPartitions("family", "piece")
+    pieces = written(piece_links(pieces, percent), "pieces")
+    block, last = F.floor(F.col("piece") / BLOCK).cast("int"), F.floor((F.col("pieces") - 1) / BLOCK).cast("int")
+    cells = pieces.where("packed IS NOT NULL").select("family", block.alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("other"), "size", "packed")
+    cells = cells.select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "size", "packed")
     cells = cells.repartition("family", "low", "high").sortWithinPartitions("family", "low", "high")
-    links = written(cell_links(cells, percent), "links")
+    links = pieces.where("key IS NOT NULL").select("key", "root", "links").unionByName(cell_links(cells, percent))
+    links = written(links, "links")
     roots = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("key").agg(F.sum("links").alias("links"))
     placed = classes.drop("row").join(roots.withColumnRenamed("node", "key"), "key", "left").join(counts, "key", "left")
